@@ -63,7 +63,7 @@ def plan_mixture(docs: DataFrame, targets: DataFrame) -> DataFrame:
         filled = not most * have < goal
         scale = _scale([(m, t) for m, t, _ in parts], goal, most)
         planned = sum(min(most, scale / m) * t for m, t, _ in parts)
-        plan.append((r["source"], share, most, have, goal, planned, scale, filled, sum(n for *_, n in parts)))
+        plan.append((r["source"], float(share), most, have, float(goal), float(planned), float(scale), filled, sum(n for *_, n in parts)))
     return spark.createDataFrame(plan, PLAN)
 
 
