@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import tempfile
 import uuid
 
@@ -71,3 +72,10 @@ def discard(df: DataFrame) -> None:
 def is_small(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than that of each partition."""
     return df.limit(rows + 1).count() <= rows
+
+
+def ship(module: str) -> None:
+    """Send the functions of ``module`` to Python workers by value, so that executors need no copy of the package."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[module])
