@@ -9,12 +9,12 @@ shortest, then smallest member of each class is its canonical form and is joined
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.session import discard, materialize
+from caseloom.session import discard, materialize, ship
+
+ship(__name__)
 
 # Letters of other scripts and the Latin letters that look the same, in the same order.
 CYRILLIC = "аеорсухіјѕһԁԛԝӏАВЕКМНОРСТХІЈЅԚԜҮ"
@@ -30,9 +30,7 @@ INVISIBLE = [(0x00, 0x08), (0x0E, 0x1B), (0x7F, 0x84), (0x86, 0x9F), (0xAD, 0xAD
 PLAIN = r"^[\x21-\x7e]*( [\x21-\x7e]+)*$"
 
 
-@lru_cache(maxsize=1)
-def character_map() -> dict[int, str]:
-    """Code point to its replacement, ligatures included; the empty string deletes."""
+def _character_map() -> dict[int, str]:
     out = {c: "" for lo, hi in INVISIBLE for c in range(lo, hi + 1)}
     out |= {0xFF01 + i: chr(0x21 + i) for i in range(94)}
     out |= {ord(c): " " for c in BLANKS} | {ord(c): "-" for c in HYPHENS}
@@ -40,10 +38,14 @@ def character_map() -> dict[int, str]:
     return out | {ord(a): b for a, b in LIGATURES.items()}
 
 
+#: Code point to its replacement, ligatures included; the empty string deletes.
+CHARACTER_MAP = _character_map()
+
+
 def map_lookalikes(text: Column) -> Column:
     """``text`` after the character mapping, runs of blanks as one blank, none at the ends."""
-    single = {c: r for c, r in character_map().items() if len(r) == 1}
-    gone = "".join(chr(c) for c, r in character_map().items() if r == "" and c)
+    single = {c: r for c, r in CHARACTER_MAP.items() if len(r) == 1}
+    gone = "".join(chr(c) for c, r in CHARACTER_MAP.items() if r == "" and c)
     source = "".join(map(chr, single)) + gone + "\0"
     out = F.translate(text, source, "".join(single.values()))
     for a, b in LIGATURES.items():

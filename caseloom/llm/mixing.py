@@ -81,7 +81,7 @@ def mix_documents(docs: DataFrame, plan: DataFrame, seed: int = 5) -> DataFrame:
     rows = rows.withColumn("part", F.greatest(F.col("wish") - F.col("whole"), F.lit(0.0)))
     rows = rows.withColumn("part", F.when(F.col("part") > 1e-9, F.col("part")).otherwise(0.0))
     u = unit("doc_id", seed=seed)
-    odds = (u / (1 - u)) / (F.col("part") / (1 - F.col("part")))
+    odds = F.try_divide(u / (1 - u), F.try_divide(F.col("part"), 1 - F.col("part")))
     loose = rows.where("part > 0").withColumn("odds", odds).withColumn("order", F.col("odds") / (1 + F.col("odds")))
     draws = rows.groupBy("source_key").agg(F.round(F.sum("part")).cast("long").alias("draws"))
     ranked = group_rank(loose.select("doc_id", "source_key", "order"), ["source_key"], "order", ["doc_id"])

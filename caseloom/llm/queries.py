@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import consensus, lookalike, matching, mixing, packing, sampling, splits
+from caseloom.llm import consensus, lookalike, matching, mixing, neardup, packing, sampling, splits
 from caseloom.llm.sizes import word_count
 from caseloom.session import table
 
@@ -50,6 +51,19 @@ def p3_canonical(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.canonical_text(rows.dropDuplicates(["key"]), ["text"], "key").select("case_id", "text")
 
 
+def _near(spark: SparkSession, d: str) -> neardup.NearDuplicates:
+    rows = neardup.case_texts(table(spark, d, "cases"), table(spark, d, "text_qc"))
+    return neardup.NearDuplicates(rows, width=3, similarity=Fraction(3, 5))  # as TESTDATA.md states the problem
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _near(spark, d).document_pairs().select(F.col("a").alias("case_id_a"), F.col("b").alias("case_id_b"))
+
+
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    return _near(spark, d).classes().withColumnRenamed("doc_id", "case_id")
+
+
 def _samples(spark: SparkSession, d: str) -> DataFrame:
     return sampling.labelled_samples(table(spark, d, "manifest"), table(spark, d, "assignments"))
 

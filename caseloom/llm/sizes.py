@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from caseloom.session import ship
+
+ship(__name__)
+
 #: Fixed value: a maximal run of letters, digits and underscores, or one of other non-blank characters.
 WORD_OR_MARK = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
@@ -17,13 +19,16 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_OR_MARK)), F.lit(0)).cast("long")
 
 
-@lru_cache(maxsize=4)
+_encoders: dict = {}
+
+
 def _encoder(path: str):
-    from tokenizers import Tokenizer
+    if path not in _encoders:
+        from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+        _encoders[path] = Tokenizer.from_file(path)
+        _encoders[path].encode_special_tokens = True
+    return _encoders[path]
 
 
 def vocabulary_count(text: Column, path: str) -> Column:
