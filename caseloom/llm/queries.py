@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import consensus, lookalike, matching, mixing, neardup, packing, sampling, splits
+from caseloom.llm import consensus, keywords, lookalike, matching, mixing, neardup, packing, sampling, splits
 from caseloom.llm.sizes import word_count
 from caseloom.session import table
 
@@ -131,6 +131,14 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_report(plan, mixing.mix_documents(docs, plan))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return keywords.keyword_features(table(spark, d, "documents")).where("flagged").select("doc_id")
+
+
+def p9_features(spark: SparkSession, d: str) -> DataFrame:
+    return keywords.keyword_features(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and callable(f)}
 
