@@ -22,13 +22,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.shingles import BLOCK, TOKEN_BITS, distinct_tokens, mix, shingle_hashes
+from caseloom.llm.shingles import BLOCK, TOKEN_BITS, distinct_tokens, mix, shingle_hashes, sorted_unique
 from caseloom.session import is_small, materialize, ship
 
 ship(__name__)
 
 #: Tokens in at most this many texts are indexed alone.
-RARE = 100
+RARE = 12
 #: The frequency table has 8 counters for a text, at most 2 ** 26 of one byte; tokens that share one only order worse.
 MOST_COUNTER_BITS = 26
 SLICE_BITS = 16
@@ -57,11 +57,11 @@ def frequency_table(texts: DataFrame, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1 << bits, dtype=np.uint32)
-        for salts, own in _blocks(batches, "salt", "text"):
-            doc, h = shingle_hashes(own, width)
-            doc, tok = distinct_tokens(doc, h ^ np.array(salts, dtype=np.int64).astype(np.uint64)[doc])
-            at, n = np.unique(tok & np.uint64((1 << bits) - 1), return_counts=True)
-            total[at] += n.astype(np.uint32)
+        for (own,) in _blocks(batches, "text"):
+            doc, tok = distinct_tokens(*shingle_hashes(own, width))
+            at = np.sort((tok & np.uint64((1 << bits) - 1)).astype(np.uint32))
+            cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else at
+            total[at[cut]] += np.diff(np.append(cut, len(at))).astype(np.uint32)
         rows = []
         for s in range(1 << (bits - SLICE_BITS)):
             part = total[s << SLICE_BITS : (s + 1) << SLICE_BITS]
@@ -76,7 +76,7 @@ def frequency_table(texts: DataFrame, width: int) -> np.ndarray:
             total[np.frombuffer(zlib.decompress(at), dtype=np.uint16)] += np.frombuffer(zlib.decompress(n), dtype=np.uint32)
         return pd.DataFrame([(key[0], _code(total).tobytes())], columns=["slice", "codes"])
 
-    counted = texts.select("salt", "text").mapInPandas(count, "slice int, at binary, n binary")
+    counted = texts.select("text").mapInPandas(count, "slice int, at binary, n binary")
     out = np.zeros(1 << bits, dtype=np.uint8)
     for r in counted.groupBy("slice").applyInPandas(merge, "slice int, codes binary").toLocalIterator():
         out[r["slice"] << SLICE_BITS : (r["slice"] + 1) << SLICE_BITS] = np.frombuffer(r["codes"], dtype=np.uint8)
@@ -168,26 +168,30 @@ def _postings(width: int, codes, t: Fraction, parts: int):
             doc, h = shingle_hashes(texts, width)
             if not len(doc):
                 continue
-            doc, tok = distinct_tokens(doc, h ^ salt[doc])
+            doc, tok = distinct_tokens(doc, h)
             size = np.bincount(doc, minlength=len(texts))
             bits = _parity(doc, tok, len(texts))
             doc, sig, passed = signatures(doc, tok, size, table, t)
+            sig = mix(sig ^ salt[doc])
             part = (sig % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            cut = np.searchsorted(part[order], np.arange(parts + 1))
+            order = np.argsort(part * BLOCK + doc)
+            doc, sig, passed, part = doc[order], sig[order], passed[order], part[order]
+            cut = np.searchsorted(part, np.arange(parts + 1))
+            narrow = np.min_scalar_type(int(passed.max(initial=0)))
             rows = []
             for p in range(parts):
-                at = order[cut[p] : cut[p + 1]]
-                if not len(at):
+                at = slice(cut[p], cut[p + 1])
+                if cut[p] == cut[p + 1]:
                     continue
-                own, number = np.unique(doc[at], return_inverse=True)
-                rows.append((p, (sig[at] >> np.uint64(32)).astype(np.uint32).tobytes(), number.astype(np.uint16).tobytes(), passed[at].astype(np.uint32 if size.max() > 65535 else np.uint16).tobytes(), ids[own].tobytes(), size[own].astype(np.uint32).tobytes(), bits[own].tobytes()))
-            yield pd.DataFrame(rows, columns=["part", "sig", "number", "passed", "id", "size", "bits"])
+                number = np.bincount(doc[at], minlength=len(ids))
+                own = np.flatnonzero(number)
+                rows.append((p, (sig[at] >> np.uint64(32)).astype(np.uint32).tobytes(), passed[at].astype(narrow).tobytes(), ids[own].tobytes(), number[own].astype(np.uint32).tobytes(), size[own].astype(np.uint32).tobytes(), bits[own].tobytes()))
+            yield pd.DataFrame(rows, columns=["part", "sig", "passed", "id", "number", "size", "bits"])
 
     return run
 
 
-POSTINGS = "part int, sig binary, number binary, passed binary, id binary, size binary, bits binary"
+POSTINGS = "part int, sig binary, passed binary, id binary, number binary, size binary, bits binary"
 
 
 def _meet(t: Fraction):
@@ -195,60 +199,48 @@ def _meet(t: Fraction):
     most = t / (1 + t)
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        sigs, docs, passed, base = [], [], [], 0
-        ids = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in rows["id"]])
-        size = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in rows["size"]]).astype(np.int64)
-        bits = np.concatenate([np.frombuffer(x, dtype=np.uint64).reshape(-1, 4) for x in rows["bits"]])
-        for r in rows.itertuples():
-            s = np.frombuffer(r.sig, dtype=np.uint32)
-            sigs.append(s)
-            docs.append(np.frombuffer(r.number, dtype=np.uint16).astype(np.int32) + base)
-            passed.append(np.frombuffer(r.passed, dtype=np.uint16 if len(r.passed) == 2 * len(s) else np.uint32).astype(np.int32))
-            base += len(r.id) // 8
-        sig, doc, passed = np.concatenate(sigs), np.concatenate(docs), np.concatenate(passed)
+        join = lambda c, kind: np.concatenate([np.frombuffer(x, dtype=kind) for x in rows[c]])
+        ids, number, size, bits = join("id", np.int64), join("number", np.uint32), join("size", np.uint32).astype(np.int64), join("bits", np.uint64).reshape(-1, 4)
+        passed = np.concatenate([np.frombuffer(p, dtype=f"u{4 * len(p) // len(x)}").astype(np.int32) for p, x in zip(rows["passed"], rows["sig"], strict=True)])
+        sig, doc = join("sig", np.uint32), np.repeat(np.arange(len(ids)), number)
         # Copies of a text that came from several tasks become one.
         ids, first, same = np.unique(ids, return_index=True, return_inverse=True)
-        size, bits, doc = size[first], bits[first], same[doc].astype(np.int64)
-        order = np.lexsort((doc, sig))
-        sig, doc, passed = sig[order], doc[order], passed[order]
-        twice = np.ones(len(sig), dtype=bool)
-        twice[1:] = (sig[1:] != sig[:-1]) | (doc[1:] != doc[:-1])
-        sig, doc, passed = sig[twice], doc[twice], passed[twice]
-        found: list[np.ndarray] = []
-        waiting, held = [], 0
-
-        def flush() -> None:
-            nonlocal held
-            pair = np.unique(np.concatenate(waiting))
-            waiting.clear()
-            held = 0
+        size, bits, doc = size[first], bits[first], same[doc]
+        order = np.argsort(sig, kind="stable")
+        sig = sig[order]
+        shared = np.zeros(len(sig), dtype=bool)
+        shared[1:] = sig[1:] == sig[:-1]
+        shared[:-1] |= shared[1:]
+        order = order[shared]
+        group = np.cumsum(np.concatenate(([0], sig[shared][1:] != sig[shared][:-1]))) if len(order) else order
+        doc, passed = doc[order], passed[order]
+        order = np.lexsort((doc, size[doc], group))
+        group, doc, passed = group[order], doc[order], passed[order]
+        twice = np.ones(len(group), dtype=bool)
+        twice[1:] = (group[1:] != group[:-1]) | (doc[1:] != doc[:-1])
+        group, doc, passed = group[twice], doc[twice], passed[twice]
+        n = size[doc]
+        # A text may meet those of at most this size here, else too many of its tokens would be missing.
+        limit = ((n - passed) * most.denominator) // most.numerator - n
+        wide = int(n.max(initial=0)) + 2
+        upto = np.minimum(np.searchsorted(group * wide + n, group * wide + np.clip(limit, 0, wide - 1), side="right"), np.arange(len(group)))
+        start = _starts(group)
+        count = np.maximum(upto - start, 0)
+        found, done = [], 0
+        ends = np.cumsum(count)
+        while done < len(count):
+            stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS_AT_ONCE, side="right")))
+            c = count[done:stop]
+            y = np.repeat(np.arange(done, stop), c)
+            x = start[y] + np.arange(len(y)) - np.repeat(np.cumsum(c) - c, c)
+            ok = n[y] <= limit[x]
+            pair = sorted_unique(doc[x[ok]] * len(ids) + doc[y[ok]])
             a, b = pair // len(ids), pair % len(ids)
             both = size[a] + size[b]
             apart = both - 2 * ((both * most.numerator + most.denominator - 1) // most.denominator)
-            near = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) <= apart
-            found.append(pair[near])
-
-        start = _starts(sig)
-        lag, live = 1, np.arange(len(sig))
-        while True:
-            live = live[live + lag < len(sig)]
-            live = live[start[live + lag] == start[live]]
-            if not len(live):
-                break
-            for at in range(0, len(live), PAIRS_AT_ONCE):
-                i = live[at : at + PAIRS_AT_ONCE]
-                a, b = doc[i], doc[i + lag]
-                both = size[a] + size[b]
-                common = (both * most.numerator + most.denominator - 1) // most.denominator
-                ok = (common <= np.minimum(size[a], size[b])) & (passed[i] <= size[a] - common) & (passed[i + lag] <= size[b] - common)
-                waiting.append(a[ok] * len(ids) + b[ok])
-                held += int(ok.sum())
-                if held > PAIRS_AT_ONCE:
-                    flush()
-            lag += 1
-        if waiting:
-            flush()
-        pair = np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
+            found.append(pair[np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1) <= apart])
+            done = stop
+        pair = sorted_unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
         a, b = (ids[pair // len(ids)], ids[pair % len(ids)]) if len(pair) else (pair, pair)
         return pd.DataFrame({"x": np.minimum(a, b), "y": np.maximum(a, b)})
 
@@ -271,14 +263,18 @@ class NearDuplicates:
     ``rows`` has (doc_id, field, text): texts are compared within a field. Null texts and those shorter
     than ``width`` words are like no other. Equal texts are one class, known by its hash; ``pairs``
     holds the similar pairs of classes, a class with itself if several documents have its text.
+    ``counted`` names a field that holds every document's fullest text: token frequencies, which only
+    order the tokens, are then counted over it alone, else over all rows.
     """
 
-    def __init__(self, rows: DataFrame, width: int = 5, similarity: Fraction = Fraction(4, 5), parts: int | None = None) -> None:
+    def __init__(self, rows: DataFrame, width: int = 5, similarity: Fraction = Fraction(4, 5), counted: str | None = None, parts: int | None = None) -> None:
         spark = rows.sparkSession
-        rows = rows.where("text is not null and doc_id is not null").select("doc_id", "text", F.xxhash64("field").alias("salt"), F.xxhash64("field", "text").alias("h"))
+        rows = rows.where("text is not null and doc_id is not null")
+        whole = rows.where(F.col("field") == counted) if counted else rows
+        codes = spark.sparkContext.broadcast(frequency_table(whole, width))  # at most 2 ** MOST_COUNTER_BITS bytes
+        rows = rows.select("doc_id", "text", F.xxhash64("field").alias("salt"), F.xxhash64("field", "text").alias("h"))
         self.rows = rows
         parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        codes = spark.sparkContext.broadcast(frequency_table(rows, width))  # at most 2 ** MOST_COUNTER_BITS bytes
         posted = rows.select("h", "salt", "text").mapInPandas(_postings(width, codes, similarity, parts), POSTINGS)
         met = posted.groupBy("part").applyInPandas(_meet(similarity), "x long, y long")
         copies = rows.select("doc_id", "h").distinct().groupBy("h").count().where("count > 1").select(F.col("h").alias("x"), F.col("h").alias("y"))

@@ -14,6 +14,7 @@ from caseloom.session import ship
 ship(__name__)
 
 WORD = re.compile(r"[^\W_]+")
+MAPPED = re.compile("[" + "".join(re.escape(chr(c)) for c in CHARACTER_MAP if c > 126 and chr(c) not in "µ") + "]")
 TOKEN_BITS = 44
 #: Texts that are handled at once: their number within a batch takes 12 bits beside a token and its class.
 BLOCK = 4096
@@ -36,7 +37,10 @@ _words = _Words()
 def words_of(text: str) -> list[str]:
     """Runs of letters and digits in lower case, in the canonical form of look-alike text."""
     if not text.isascii():
-        text = unicodedata.normalize("NFC", text.translate(CHARACTER_MAP))
+        if MAPPED.search(text):
+            text = text.translate(CHARACTER_MAP)
+        if not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
     return WORD.findall(text.lower())
 
 
@@ -70,7 +74,14 @@ def shingle_hashes(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray
     return doc[: len(out)][same], mix(out[same])
 
 
+def sorted_unique(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    first = np.ones(len(x), dtype=bool)
+    first[1:] = x[1:] != x[:-1]
+    return x[first]
+
+
 def distinct_tokens(doc: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (text number, token), sorted; a token is the hash's upper TOKEN_BITS."""
-    key = np.unique((doc.astype(np.uint64) << np.uint64(TOKEN_BITS)) | (hashes >> np.uint64(64 - TOKEN_BITS)))
+    key = sorted_unique((doc.astype(np.uint64) << np.uint64(TOKEN_BITS)) | (hashes >> np.uint64(64 - TOKEN_BITS)))
     return (key >> np.uint64(TOKEN_BITS)).astype(np.int64), key & np.uint64((1 << TOKEN_BITS) - 1)
