@@ -1,5 +1,7 @@
 """SQL for the queries that SQL can express, for DuckDB over the same tables."""
 
+from caseloom.llm.lookalike import CHARACTER_MAP, LIGATURES
+
 _TOKENS = r"""regexp_extract_all({}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+')"""
 _STRIP = "regexp_replace(regexp_replace({}, '^\\s+', ''), '\\s+$', '')"
 
@@ -10,7 +12,26 @@ _CHAIN = """, chain(node, seen) AS (
 ), lowest AS (SELECT node, min(seen) AS root FROM chain GROUP BY node)
 """
 
+
+
+def _same_form(x: str) -> str:
+    """The canonical form of the SQL string expression ``x``: mapping, composition, single blanks."""
+    single = {c: r for c, r in CHARACTER_MAP.items() if len(r) == 1 and c}
+    gone = "".join(chr(c) for c, r in CHARACTER_MAP.items() if r == "" and c)
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    out = f"translate({x}, {quoted(''.join(map(chr, single)) + gone)}, {quoted(''.join(single.values()))})"
+    for a, b in LIGATURES.items():
+        out = f"replace({out}, '{a}', '{b}')"
+    return f"trim(regexp_replace(nfc_normalize({out}), ' +', ' ', 'g'))"
+
+
 SQL = {
+    "p3_found": f"""
+WITH pairs AS (
+  SELECT m.request_sha256, m.evidence_quote AS q, c.raw_case_text AS t FROM medgemma_labels m JOIN cases c USING (case_id)
+  WHERE m.evidence_quote <> '' AND NOT contains(c.raw_case_text, m.evidence_quote)
+), same AS (SELECT request_sha256, {_same_form('q')} AS q, {_same_form('t')} AS t FROM pairs)
+SELECT DISTINCT request_sha256 FROM same WHERE q <> '' AND contains(t, q)""",
     "p1_found": """
 WITH RECURSIVE img AS (
   SELECT DISTINCT case_id, lower(trim(image_sha256)) AS sha,
