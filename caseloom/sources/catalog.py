@@ -78,10 +78,24 @@ class Catalog:
 
 
 def checksums(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """(name, bytes, sha256) of the files in ``folder``; files are read where they are, one at a time a task."""
+    """(name, bytes, sha256) of the files in ``folder``; files are read where they are, one at a time a task.
+
+    The reader passes over empty files, so these are taken from the folder's listing.
+    """
+    from fnmatch import fnmatch
+    from hashlib import sha256
+
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
     name = F.regexp_replace("path", r"^.*/", "")
-    return files.select(name.alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    full = files.select(name.alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    empty = []
+    while listed.hasNext():
+        f = listed.next()
+        if f.getLen() == 0 and fnmatch(f.getPath().getName(), glob):
+            empty.append((f.getPath().getName(), 0, sha256(b"").hexdigest()))
+    return full.unionByName(spark.createDataFrame(empty, full.schema))
 
 
 def verify_files(found: DataFrame, lock: DataFrame) -> DataFrame:
