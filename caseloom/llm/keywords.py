@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from caseloom.session import is_small, materialize
 
 #: A word of at least two letters, with the first character of a number if it stands before one on its line.
-WORD = r"\p{L}{2,}+(?:[^\p{L}\p{N}\n]{0,4}\p{N})?"
+WORD = r"\p{L}{2,}+(?:[^\p{L}\p{N}\n]{0,4}[0-9])?"
 #: Commonest words of a language that tell prose, the least share of them in prose, and the words and pages they are sought among.
 COMMON, PROSE_SHARE, COMMON_LEAST = 40, 0.30, 0.01
 #: A prose word stands in this share of the prose pages, and in this many at least; so there are at most (words of a page / share) of them.
@@ -47,12 +47,18 @@ SELECT doc_id, slope, sqrt(greatest(0.0D, syy - sy * sy / n - slope * (sxy - sx
 def page_words(documents: DataFrame) -> DataFrame:
     """(doc_id, lang, total, words) of pages with words; words holds (word, n, free), free without those before a number.
 
-    The texts are moved once, so that counting words needs no other shuffle. A repeated row counts once.
+    The texts are moved once, so that counting words needs no other shuffle. A repeated row counts once:
+    only if an id stands there twice are the rows of such ids sorted out, apart from the others.
     """
     rows = documents.where("doc_id is not null and text is not null").select("doc_id", F.lower(F.trim("lang")).alias("lang"), "text")
-    rows = rows.repartition("doc_id").dropDuplicates(["doc_id"])
+    twice = rows.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if twice.limit(1).count():
+        twice = materialize(twice, "twice")
+        rows = rows.join(twice, "doc_id", "left_anti").unionByName(rows.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    rows = rows.repartition("doc_id")
     found = rows.select("doc_id", "lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("w"))
-    found = found.select("doc_id", "lang", F.regexp_extract("w", r"^\p{L}+", 0).alias("word"), (~F.col("w").rlike(r"\p{N}$")).cast("int").alias("free"))
+    free = ~F.right("w", F.lit(1)).between("0", "9")
+    found = found.select("doc_id", "lang", F.when(free, F.col("w")).otherwise(F.regexp_extract("w", r"^\p{L}+", 0)).alias("word"), free.cast("int").alias("free"))
     counted = found.groupBy("doc_id", "lang", "word").agg(F.count("*").cast("int").alias("n"), F.sum("free").cast("int").alias("free"))
     return counted.groupBy("doc_id", "lang").agg(F.sum("n").alias("total"), F.collect_list(F.struct("word", "n", "free")).alias("words"))
 
