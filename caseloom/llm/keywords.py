@@ -81,8 +81,7 @@ def common_words(pages: DataFrame) -> dict[str, list[str]]:
 
 
 def _share(words: list[str]) -> Column:
-    known = F.array(*(F.lit(w) for w in words))
-    mine = F.filter("words", lambda x: F.array_contains(known, x["word"]))
+    mine = F.filter("words", lambda x: x["word"].isin(words))  # a hash set, as these are literals
     return F.aggregate(mine, F.lit(0), lambda a, x: a + x["n"]) / F.col("total")
 
 
