@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from caseloom.session import is_small, materialize
 
 #: A word of at least two letters, with the first character of a number if it stands before one on its line.
-WORD = r"\p{L}{2,}+(?:[^\p{L}\p{N}\n]{0,4}[0-9])?"
+WORD = r"[a-z\p{L}]{2,}+(?:[^a-z\p{L}0-9\p{N}\n]{0,4}[0-9])?"  # lower-case text; a-z first, as it is tried first
 #: Commonest words of a language that tell prose, the least share of them in prose, and the words and pages they are sought among.
 COMMON, PROSE_SHARE, COMMON_LEAST = 40, 0.30, 0.01
 #: A prose word stands in this share of the prose pages, and in this many at least; so there are at most (words of a page / share) of them.
