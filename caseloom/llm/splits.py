@@ -85,18 +85,20 @@ def plan_splits(bundles: list[dict], shares: dict[str, float]) -> list[dict]:
     out = []
     for part in (large, small):
         net, arcs = Network(), {}
+        # The large ones get their own share of each quota, the small ones all that is left then.
+        mass = sum(b["records"] for b in part) / (whole or 1) if part is large else 1.0
         for i, b in enumerate(part):
             net.arc("source", ("bundle", i), b["records"])
             for s in names:
                 arcs[i, s] = net.arc(("bundle", i), ("label", b["profile"], s), b["records"])
         for p in sorted({b["profile"] for b in part}, key=str):
             for s in names:
-                net.arc(("label", p, s), ("split", s), max(0, round(label_quota[p, s])), 0)
+                net.arc(("label", p, s), ("split", s), max(0, round(label_quota[p, s] * mass)), 0)
                 net.arc(("label", p, s), ("split", s), whole, 1)
         for s in names:
-            room = max(0, round(quota[s]))
+            room = max(0, round(quota[s] * mass))
             net.arc(("split", s), "sink", room, 0)
-            net.arc(("split", s), "sink", room // 10 + 1, 20)
+            net.arc(("split", s), "sink", room // 50 + 1, 20)
             net.arc(("split", s), "sink", whole, 200)
         net.solve("source", "sink")
         owed = dict.fromkeys(names, 0.0)
