@@ -22,7 +22,7 @@ COMMON, PROSE_SHARE, COMMON_LEAST = 40, 0.30, 0.01
 VOCABULARY_SHARE, VOCABULARY_PAGES = 0.002, 3
 MOST_LANGUAGES, MOST_BROADCAST = 100, 2_000_000
 #: Shares of divergent words that flag a page by repeated words, by all words, and by repeated ones beside an extreme curve.
-REPEATED, FOREIGN, SUSPECT = 0.15, 0.45, 0.06
+REPEATED, FOREIGN, SUSPECT = 0.09, 0.45, 0.075
 #: Robust deviations that make slope or residual extreme, and the least deviation scale.
 EXTREME, LEAST_SCALE = 4.0, 0.05
 LEAST_WORDS = 6

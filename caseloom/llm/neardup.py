@@ -272,7 +272,7 @@ class NearDuplicates:
         rows = rows.where("text is not null and doc_id is not null")
         whole = rows.where(F.col("field") == counted) if counted else rows
         codes = spark.sparkContext.broadcast(frequency_table(whole, width))  # at most 2 ** MOST_COUNTER_BITS bytes
-        rows = rows.select("doc_id", "text", F.xxhash64("field").alias("salt"), F.xxhash64("field", "text").alias("h"))
+        rows = rows.select("doc_id", "field", "text", F.xxhash64("field").alias("salt"), F.xxhash64("field", "text").alias("h"))
         self.rows = rows
         parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
         posted = rows.select("h", "salt", "text").mapInPandas(_postings(width, codes, similarity, parts), POSTINGS)
@@ -299,13 +299,13 @@ class NearDuplicates:
         return out.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def classes(self) -> DataFrame:
-        """(doc_id, class, links): for each text of a document the class of equal texts and how many other documents' texts are like it."""
-        own = self.rows.select("doc_id", "h").distinct()
+        """(doc_id, field, class, links): for each text its class of equal texts and how many other documents' texts are like it."""
+        own = self.rows.select("doc_id", "field", "h").distinct()
         size = own.groupBy("h").agg(F.count("*").alias("n"))
         ends = self.pairs.where("x <> y").select(F.col("x").alias("h"), F.col("y").alias("o")).unionByName(self.pairs.where("x <> y").select(F.col("y").alias("h"), F.col("x").alias("o")))
         ends = ends.unionByName(self.pairs.where("x = y").select(F.col("x").alias("h"), F.col("y").alias("o")))
         links = ends.join(size.withColumnRenamed("h", "o"), "o").groupBy("h").agg(F.sum(F.col("n") - F.when(F.col("h") == F.col("o"), 1).otherwise(0)).alias("links"))
-        return own.join(links, "h", "left").select("doc_id", F.hex("h").alias("class"), F.coalesce("links", F.lit(0)).alias("links"))
+        return own.join(links, "h", "left").select("doc_id", "field", F.hex("h").alias("class"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def case_texts(cases: DataFrame, text_qc: DataFrame) -> DataFrame:
