@@ -44,28 +44,39 @@ SELECT doc_id, slope, sqrt(greatest(0.0D, syy - sy * sy / n - slope * (sxy - sx
 """
 
 
+def language_code(lang: Column) -> Column:
+    """A number for a language name, case and outer blanks aside; 0 for null and blank names."""
+    v = F.lower(F.trim(lang))
+    return F.when(v != "", F.xxhash64(v)).otherwise(F.lit(0)).cast("long")
+
+
 def page_words(documents: DataFrame) -> DataFrame:
     """(doc_id, lang, total, words) of pages with words; words holds (word, n, free), free without those before a number.
 
-    The texts are moved once, so that counting words needs no other shuffle. A repeated row counts once:
-    only if an id stands there twice are the rows of such ids sorted out, apart from the others.
+    lang is the language's code, so that rows are grouped by numbers and the word alone.
+
+    The texts are moved once, so that counting words needs no other shuffle. An empty word is counted with
+    each row: the counts of an id that stands in several rows are divided by their number, so a repeated
+    row counts once, and rows of one id with different texts count as their mean, rounded down.
     """
-    rows = documents.where("doc_id is not null and text is not null").select("doc_id", F.lower(F.trim("lang")).alias("lang"), "text")
-    twice = rows.groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if twice.limit(1).count():
-        twice = materialize(twice, "twice")
-        rows = rows.join(twice, "doc_id", "left_anti").unionByName(rows.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    rows = rows.repartition("doc_id")
-    found = rows.select("doc_id", "lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("w"))
+    rows = documents.where("doc_id is not null and text is not null").select("doc_id", language_code(F.col("lang")).alias("lang"), "text").repartition("doc_id")
+    found = rows.select("doc_id", "lang", F.explode(F.concat(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)), F.array(F.lit("")))).alias("w"))
     free = ~F.right("w", F.lit(1)).between("0", "9")
     found = found.select("doc_id", "lang", F.when(free, F.col("w")).otherwise(F.regexp_extract("w", r"^\p{L}+", 0)).alias("word"), free.cast("int").alias("free"))
     counted = found.groupBy("doc_id", "lang", "word").agg(F.count("*").cast("int").alias("n"), F.sum("free").cast("int").alias("free"))
-    return counted.groupBy("doc_id", "lang").agg(F.sum("n").alias("total"), F.collect_list(F.struct("word", "n", "free")).alias("words"))
+    real = F.col("word") != ""
+    pages = counted.groupBy("doc_id", "lang").agg(
+        F.sum(F.when(~real, F.col("n"))).cast("int").alias("rows"), F.sum(F.when(real, F.col("n"))).alias("total"), F.collect_list(F.when(real, F.struct("word", "n", "free"))).alias("words")
+    )
+    once = F.transform("words", lambda x: F.struct(x["word"].alias("word"), F.greatest(F.lit(1), F.floor(x["n"] / F.col("rows"))).cast("int").alias("n"), F.floor(x["free"] / F.col("rows")).cast("int").alias("free")))
+    words = F.when(F.col("rows") > 1, once).otherwise(F.col("words"))
+    total = F.when(F.col("rows") > 1, F.floor(F.col("total") / F.col("rows"))).otherwise(F.col("total"))
+    return pages.where("total > 0").select("doc_id", "lang", total.cast("long").alias("total"), words.alias("words"))
 
 
-def common_words(pages: DataFrame) -> dict[str, list[str]]:
+def common_words(pages: DataFrame) -> dict[int, list[str]]:
     """The commonest words of each language by pages, for languages with a hundredth of the pages at least."""
-    sizes = {r["lang"]: r["count"] for r in pages.where("lang <> ''").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
+    sizes = {r["lang"]: r["count"] for r in pages.where("lang <> 0").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
     whole = sum(sizes.values())
     sizes = {k: n for k, n in sizes.items() if n >= whole / MOST_LANGUAGES}
     if not sizes:
@@ -74,7 +85,7 @@ def common_words(pages: DataFrame) -> dict[str, list[str]]:
     least = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, COMMON_LEAST * n)))
     often = held.where(F.col("pages") >= F.element_at(least, F.col("lang")))  # at most a page's words / COMMON_LEAST each
     ranked = often.selectExpr("lang", "word", "row_number() OVER (PARTITION BY lang ORDER BY pages DESC, word) AS r").where(F.col("r") <= COMMON)
-    out: dict[str, list[str]] = {k: [] for k in sizes}  # the most frequent language first: it wins ties
+    out: dict[int, list[str]] = {k: [] for k in sizes}  # the most frequent language first: it wins ties
     for r in ranked.orderBy("lang", "r").collect():
         out[r["lang"]].append(r["word"])
     return out
@@ -95,12 +106,13 @@ def keyword_features(documents: DataFrame) -> DataFrame:
     pages = materialize(page_words(documents), "pages")
     common = common_words(pages)
     if not common:
-        common = {"und": []}
-    shares = {k: (_share(w) if w else F.lit(0.0)) for k, w in common.items()}
-    best, guess = F.lit(-1.0), F.lit("und")
-    ranked = pages.withColumns({f"__{i}": F.when(F.col("lang").isin(list(shares)) & (F.col("lang") != k), -1.0).otherwise(s) for i, (k, s) in enumerate(shares.items())})
-    for i, k in enumerate(shares):
-        guess = F.when(F.col(f"__{i}") > best, F.lit(k)).otherwise(guess)
+        common = {0: []}
+    codes = list(common)  # in what follows a language is its place here
+    shares = [_share(w) if w else F.lit(0.0) for w in common.values()]
+    best, guess = F.lit(-1.0), F.lit(0)
+    ranked = pages.withColumns({f"__{i}": F.when(F.col("lang").isin(codes) & (F.col("lang") != k), -1.0).otherwise(s) for i, (k, s) in enumerate(zip(codes, shares, strict=True))})
+    for i in range(len(codes)):
+        guess = F.when(F.col(f"__{i}") > best, F.lit(i)).otherwise(guess)
         best = F.greatest(best, F.col(f"__{i}"))
     known = ranked.select("doc_id", guess.alias("language"), F.greatest(best, F.lit(0.0)).alias("share"), "total", "words")
     prose = known.where(F.col("share") >= PROSE_SHARE)
@@ -113,7 +125,8 @@ def keyword_features(documents: DataFrame) -> DataFrame:
         vocabulary = F.broadcast(vocabulary)
     each = known.select("doc_id", "language", "share", "total", F.inline("words")).join(vocabulary, ["language", "word"], "left")
     odd = F.col("prose").isNull()
-    sums = each.groupBy("doc_id", "language", "share", "total").agg(
+    sums = each.groupBy("doc_id").agg(
+        *(F.max(c).alias(c) for c in ("language", "share", "total")),
         F.sum(F.when(odd & (F.col("n") > 1), F.col("free")).otherwise(0)).alias("r"), F.sum(F.when(odd, F.col("free")).otherwise(0)).alias("f")
     )
     spectrum = pages.select("doc_id", F.explode("words.n").alias("freq")).groupBy("doc_id", "freq").agg(F.count("*").alias("words"))
@@ -129,4 +142,7 @@ def keyword_features(documents: DataFrame) -> DataFrame:
 
     curve = extreme("slope") | extreme("residual")
     flagged = (F.col("total") >= LEAST_WORDS) & ((F.col("repeated") >= REPEATED) | (F.col("foreign") >= FOREIGN) | ((F.col("repeated") >= SUSPECT) & curve))
+    names = documents.select(F.lower(F.trim("lang")).alias("language_name"), language_code(F.col("lang")).alias("lang")).where(F.col("lang").isin(codes)).distinct()
+    named = {r["lang"]: r["language_name"] for r in names.collect()}  # at most MOST_LANGUAGES
+    rows = rows.withColumn("language", F.element_at(F.array(*(F.lit(named.get(k, "und")) for k in codes)), F.col("language") + 1))
     return rows.select("doc_id", "language", "total", *(F.round(c, 6).alias(c) for c in ("share", "repeated", "foreign", "slope", "residual")), flagged.alias("flagged"))
