@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
+import shutil
 import sys
 import tempfile
 import uuid
@@ -47,13 +49,21 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
+_cleaned: set[str] = set()
+
+
 def materialize(df: DataFrame, what: str = "step") -> DataFrame:
     """Write ``df`` into the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The files are Parquet, so the planner then knows the size of the result.
+    The files are Parquet, so the planner then knows the size of the result. Where the folder is a mounted
+    one they go when the driver ends; elsewhere the folder's owner clears it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/caseloom-{os.getpid()}/{what}-{uuid.uuid4().hex}"
+    own = f"{shared_dir(spark)}/caseloom-{os.getpid()}"
+    if own.startswith(("file:", "/")) and own not in _cleaned:
+        _cleaned.add(own)
+        atexit.register(shutil.rmtree, re.sub("^file:/*", "/", own), ignore_errors=True)
+    path = f"{own}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._caseloom_path = path
