@@ -36,7 +36,9 @@ SLICE_BITS = 16
 LEVELS = (8, 32, 128, 512, 2048, 8192, 32768)
 #: Rows of keys that are broadcast; beyond, they are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
-PAIRS_AT_ONCE = 4_000_000
+PAIRS_AT_ONCE = 2_000_000
+#: Postings of a part, and how many a text has; fewer parts hold fewer copies of a text's bitmap.
+PART_POSTINGS, TEXT_POSTINGS, LEAST_PARTS = 4_000_000, 130, 16
 
 
 def _code(counts: np.ndarray) -> np.ndarray:
@@ -274,7 +276,9 @@ class NearDuplicates:
         codes = spark.sparkContext.broadcast(frequency_table(whole, width))  # at most 2 ** MOST_COUNTER_BITS bytes
         rows = rows.select("doc_id", "field", "text", F.xxhash64("field").alias("salt"), F.xxhash64("field", "text").alias("h"))
         self.rows = rows
-        parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if parts is None:
+            least = min(LEAST_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+            parts = max(least, math.ceil(rows.count() * TEXT_POSTINGS / PART_POSTINGS))
         posted = rows.select("h", "salt", "text").mapInPandas(_postings(width, codes, similarity, parts), POSTINGS)
         met = posted.groupBy("part").applyInPandas(_meet(similarity), "x long, y long")
         copies = rows.select("doc_id", "h").distinct().groupBy("h").count().where("count > 1").select(F.col("h").alias("x"), F.col("h").alias("y"))
