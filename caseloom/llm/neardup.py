@@ -53,11 +53,11 @@ def _blocks(batches: Iterator[pd.DataFrame], *columns: str) -> Iterator[tuple]:
             yield tuple(part[c].tolist() for c in columns)
 
 
-def frequency_table(texts: DataFrame, width: int) -> np.ndarray:
+def frequency_table(texts: DataFrame, width: int, count: int) -> np.ndarray:
     """Byte codes of how many rows hold a token, by its low bits: counted over all rows, in slices."""
-    bits = min(MOST_COUNTER_BITS, max(SLICE_BITS, math.ceil(math.log2(8 * max(1, texts.count())))))
+    bits = min(MOST_COUNTER_BITS, max(SLICE_BITS, math.ceil(math.log2(8 * max(1, count)))))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1 << bits, dtype=np.uint32)
         for (own,) in _blocks(batches, "text"):
             doc, tok = distinct_tokens(*shingle_hashes(own, width))
@@ -78,7 +78,7 @@ def frequency_table(texts: DataFrame, width: int) -> np.ndarray:
             total[np.frombuffer(zlib.decompress(at), dtype=np.uint16)] += np.frombuffer(zlib.decompress(n), dtype=np.uint32)
         return pd.DataFrame([(key[0], _code(total).tobytes())], columns=["slice", "codes"])
 
-    counted = texts.select("text").mapInPandas(count, "slice int, at binary, n binary")
+    counted = texts.select("text").mapInPandas(tally, "slice int, at binary, n binary")
     out = np.zeros(1 << bits, dtype=np.uint8)
     for r in counted.groupBy("slice").applyInPandas(merge, "slice int, codes binary").toLocalIterator():
         out[r["slice"] << SLICE_BITS : (r["slice"] + 1) << SLICE_BITS] = np.frombuffer(r["codes"], dtype=np.uint8)
@@ -265,20 +265,18 @@ class NearDuplicates:
     ``rows`` has (doc_id, field, text): texts are compared within a field. Null texts and those shorter
     than ``width`` words are like no other. Equal texts are one class, known by its hash; ``pairs``
     holds the similar pairs of classes, a class with itself if several documents have its text.
-    ``counted`` names a field that holds every document's fullest text: token frequencies, which only
-    order the tokens, are then counted over it alone, else over all rows.
     """
 
-    def __init__(self, rows: DataFrame, width: int = 5, similarity: Fraction = Fraction(4, 5), counted: str | None = None, parts: int | None = None) -> None:
+    def __init__(self, rows: DataFrame, width: int = 5, similarity: Fraction = Fraction(4, 5), parts: int | None = None) -> None:
         spark = rows.sparkSession
         rows = rows.where("text is not null and doc_id is not null")
-        whole = rows.where(F.col("field") == counted) if counted else rows
-        codes = spark.sparkContext.broadcast(frequency_table(whole, width))  # at most 2 ** MOST_COUNTER_BITS bytes
+        count = rows.count()
+        codes = spark.sparkContext.broadcast(frequency_table(rows, width, count))  # at most 2 ** MOST_COUNTER_BITS bytes
         rows = rows.select("doc_id", "field", "text", F.xxhash64("field").alias("salt"), F.xxhash64("field", "text").alias("h"))
         self.rows = rows
         if parts is None:
             least = min(LEAST_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-            parts = max(least, math.ceil(rows.count() * TEXT_POSTINGS / PART_POSTINGS))
+            parts = max(least, math.ceil(count * TEXT_POSTINGS / PART_POSTINGS))
         posted = rows.select("h", "salt", "text").mapInPandas(_postings(width, codes, similarity, parts), POSTINGS)
         met = posted.groupBy("part").applyInPandas(_meet(similarity), "x long, y long")
         copies = rows.select("doc_id", "h").distinct().groupBy("h").count().where("count > 1").select(F.col("h").alias("x"), F.col("h").alias("y"))
