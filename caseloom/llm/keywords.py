@@ -50,32 +50,40 @@ def language_code(lang: Column) -> Column:
     return F.when(v != "", F.xxhash64(v)).otherwise(F.lit(0)).cast("long")
 
 
-def page_words(documents: DataFrame) -> DataFrame:
-    """(doc_id, lang, total, words) of pages with words; words holds (word, n, free), free without those before a number.
+def text_ids(documents: DataFrame) -> DataFrame:
+    """(doc_id, lang, page, row) of the rows with id and text: page tells texts of a language apart, row those of an id as well."""
+    rows = documents.where("doc_id is not null and text is not null").select("doc_id", language_code(F.col("lang")).alias("lang"), "text")
+    return rows.select("doc_id", "lang", F.xxhash64("lang", "text").alias("page"), F.xxhash64("doc_id", "lang", "text").alias("row"))
 
-    lang is the language's code, so that rows are grouped by numbers and the word alone.
 
-    The texts are moved once, so that counting words needs no other shuffle. An empty word is counted with
-    each row: the counts of an id that stands in several rows are divided by their number, so a repeated
-    row counts once, and rows of one id with different texts count as their mean, rounded down.
+def page_words(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """(page, lang, total, words) of distinct texts with words; words holds (word, n, free), free without those before a number.
+
+    lang is the language's code. ``ids`` is text_ids of ``documents``. One row stands for all copies of a text;
+    it is chosen before texts move, so copies are not gathered. Texts are moved once, so that counting words
+    needs no other shuffle. An empty word is counted with each row: the counts of a row that is delivered
+    several times are divided by their number.
     """
-    rows = documents.where("doc_id is not null and text is not null").select("doc_id", language_code(F.col("lang")).alias("lang"), "text").repartition("doc_id")
-    found = rows.select("doc_id", "lang", F.explode(F.concat(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)), F.array(F.lit("")))).alias("w"))
+    chosen = materialize(ids.groupBy("page").agg(F.min("row").alias("row"), F.max("lang").alias("lang")), "chosen")
+    rows = documents.where("doc_id is not null and text is not null").select(F.xxhash64("doc_id", language_code(F.col("lang")), "text").alias("row"), "text")
+    rows = rows.join(chosen.select("row").hint("shuffle_hash"), "row", "left_semi")
+    found = rows.select("row", F.explode(F.concat(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)), F.array(F.lit("")))).alias("w"))
     free = ~F.right("w", F.lit(1)).between("0", "9")
-    found = found.select("doc_id", "lang", F.when(free, F.col("w")).otherwise(F.regexp_extract("w", r"^\p{L}+", 0)).alias("word"), free.cast("int").alias("free"))
-    counted = found.groupBy("doc_id", "lang", "word").agg(F.count("*").cast("int").alias("n"), F.sum("free").cast("int").alias("free"))
+    found = found.select("row", F.when(free, F.col("w")).otherwise(F.regexp_extract("w", r"^\p{L}+", 0)).alias("word"), free.cast("int").alias("free"))
+    counted = found.groupBy("row", "word").agg(F.count("*").cast("int").alias("n"), F.sum("free").cast("int").alias("free"))
     real = F.col("word") != ""
-    pages = counted.groupBy("doc_id", "lang").agg(
+    pages = counted.groupBy("row").agg(
         F.sum(F.when(~real, F.col("n"))).cast("int").alias("rows"), F.sum(F.when(real, F.col("n"))).alias("total"), F.collect_list(F.when(real, F.struct("word", "n", "free"))).alias("words")
     )
-    once = F.transform("words", lambda x: F.struct(x["word"].alias("word"), F.greatest(F.lit(1), F.floor(x["n"] / F.col("rows"))).cast("int").alias("n"), F.floor(x["free"] / F.col("rows")).cast("int").alias("free")))
+    once = F.transform("words", lambda x: F.struct(x["word"].alias("word"), F.floor(x["n"] / F.col("rows")).cast("int").alias("n"), F.floor(x["free"] / F.col("rows")).cast("int").alias("free")))
     words = F.when(F.col("rows") > 1, once).otherwise(F.col("words"))
     total = F.when(F.col("rows") > 1, F.floor(F.col("total") / F.col("rows"))).otherwise(F.col("total"))
-    return pages.where("total > 0").select("doc_id", "lang", total.cast("long").alias("total"), words.alias("words"))
+    pages = pages.where("total > 0").select("row", total.cast("long").alias("total"), words.alias("words"))
+    return pages.join(chosen.hint("shuffle_hash"), "row").select("page", "lang", "total", "words")
 
 
 def common_words(pages: DataFrame) -> dict[int, list[str]]:
-    """The commonest words of each language by pages, for languages with a hundredth of the pages at least."""
+    """The commonest words of each language by distinct texts, for languages with a hundredth of the pages at least."""
     sizes = {r["lang"]: r["count"] for r in pages.where("lang <> 0").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
     whole = sum(sizes.values())
     sizes = {k: n for k, n in sizes.items() if n >= whole / MOST_LANGUAGES}
@@ -100,10 +108,12 @@ def keyword_features(documents: DataFrame) -> DataFrame:
     """(doc_id, language, total, share, repeated, foreign, slope, residual, flagged) of every page with words.
 
     language is the page's own or, if that is null or rare, the one whose common words it has most of.
-    Pages without words do not come out; those of fewer than LEAST_WORDS words are never flagged.
+    What is common, prose or usual is counted over distinct texts, so copies of a page do not shift it.
+    An id with several texts has the largest value of each column. Pages without words do not come out; those of fewer than LEAST_WORDS words are never flagged.
     """
     spark = documents.sparkSession
-    pages = materialize(page_words(documents), "pages")
+    ids = materialize(text_ids(documents), "ids")
+    pages = materialize(page_words(documents, ids), "pages")
     common = common_words(pages)
     if not common:
         common = {0: []}
@@ -114,7 +124,7 @@ def keyword_features(documents: DataFrame) -> DataFrame:
     for i in range(len(codes)):
         guess = F.when(F.col(f"__{i}") > best, F.lit(i)).otherwise(guess)
         best = F.greatest(best, F.col(f"__{i}"))
-    known = ranked.select("doc_id", guess.alias("language"), F.greatest(best, F.lit(0.0)).alias("share"), "total", "words")
+    known = ranked.select("page", guess.alias("language"), F.greatest(best, F.lit(0.0)).alias("share"), "total", "words")
     prose = known.where(F.col("share") >= PROSE_SHARE)
     sizes = prose.groupBy("language").agg(F.count("*").alias("prose_pages"))
     held = prose.select("language", F.explode("words.word").alias("word")).groupBy("language", "word").agg(F.count("*").alias("held"))
@@ -123,15 +133,15 @@ def keyword_features(documents: DataFrame) -> DataFrame:
     vocabulary = materialize(vocabulary, "vocabulary")
     if is_small(vocabulary, MOST_BROADCAST):
         vocabulary = F.broadcast(vocabulary)
-    each = known.select("doc_id", "language", "share", "total", F.inline("words")).join(vocabulary, ["language", "word"], "left")
+    each = known.select("page", "language", "share", "total", F.inline("words")).join(vocabulary, ["language", "word"], "left")
     odd = F.col("prose").isNull()
-    sums = each.groupBy("doc_id").agg(
+    sums = each.groupBy("page").agg(
         *(F.max(c).alias(c) for c in ("language", "share", "total")),
         F.sum(F.when(odd & (F.col("n") > 1), F.col("free")).otherwise(0)).alias("r"), F.sum(F.when(odd, F.col("free")).otherwise(0)).alias("f")
     )
-    spectrum = pages.select("doc_id", F.explode("words.n").alias("freq")).groupBy("doc_id", "freq").agg(F.count("*").alias("words"))
-    rows = sums.join(spark.sql(CURVES, spectrum=spectrum), "doc_id")
-    rows = materialize(rows.select("doc_id", "language", "total", "share", (F.col("r") / F.col("total")).alias("repeated"), (F.col("f") / F.col("total")).alias("foreign"), "slope", "residual", F.floor(F.log2(F.col("total").cast("double"))).cast("int").alias("bin")), "features")
+    spectrum = pages.select(F.col("page").alias("doc_id"), F.explode("words.n").alias("freq")).groupBy("doc_id", "freq").agg(F.count("*").alias("words"))
+    rows = sums.join(spark.sql(CURVES, spectrum=spectrum).withColumnRenamed("doc_id", "page"), "page")
+    rows = materialize(rows.select("page", "language", "total", "share", (F.col("r") / F.col("total")).alias("repeated"), (F.col("f") / F.col("total")).alias("foreign"), "slope", "residual", F.floor(F.log2(F.col("total").cast("double"))).cast("int").alias("bin")), "features")
     usual = rows.where(F.col("share") >= PROSE_SHARE).groupBy("language", "bin").agg(*(F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias("q_" + c) for c in ("slope", "residual")))
     rows = rows.join(F.broadcast(usual), ["language", "bin"], "left")  # languages x 40 lengths at most
 
@@ -142,7 +152,9 @@ def keyword_features(documents: DataFrame) -> DataFrame:
 
     curve = extreme("slope") | extreme("residual")
     flagged = (F.col("total") >= LEAST_WORDS) & ((F.col("repeated") >= REPEATED) | (F.col("foreign") >= FOREIGN) | ((F.col("repeated") >= SUSPECT) & curve))
+    values = ["language", "total", "share", "repeated", "foreign", "slope", "residual", "flagged"]
+    rows = ids.select("doc_id", "page").join(rows.withColumn("flagged", flagged).select("page", *values), "page").groupBy("doc_id").agg(*(F.max(c).alias(c) for c in values))
     names = documents.select(F.lower(F.trim("lang")).alias("language_name"), language_code(F.col("lang")).alias("lang")).where(F.col("lang").isin(codes)).distinct()
     named = {r["lang"]: r["language_name"] for r in names.collect()}  # at most MOST_LANGUAGES
     rows = rows.withColumn("language", F.element_at(F.array(*(F.lit(named.get(k, "und")) for k in codes)), F.col("language") + 1))
-    return rows.select("doc_id", "language", "total", *(F.round(c, 6).alias(c) for c in ("share", "repeated", "foreign", "slope", "residual")), flagged.alias("flagged"))
+    return rows.select("doc_id", "language", "total", *(F.round(c, 6).alias(c) for c in ("share", "repeated", "foreign", "slope", "residual")), "flagged")

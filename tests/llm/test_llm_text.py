@@ -265,6 +265,20 @@ def test_keywords(spark):
     assert keywords.keyword_features(df.limit(0)).count() == 0
 
 
+def test_copies_do_not_shift_prose(spark):
+    rnd = random.Random(8)
+    common = "the a of and was with in at by for".split()
+    nouns = [f"no{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    prose = lambda: " ".join(" ".join([rnd.choice(common), rnd.choice(nouns), rnd.choice(common), rnd.choice(common), rnd.choice(nouns)]).capitalize() + "." for _ in range(rnd.randrange(5, 40)))
+    junk = " ".join(f"{'pqrs'[i % 4]}{'aeiou'[i % 5]}{'lmnt'[i // 9 % 4]}{'xyz'[i % 3]}" for i in range(60)) + " "
+    docs = [(i, "en", prose()) for i in range(300)] + [(1000 + i, "en", junk * 4) for i in range(150)] + [(1000, "en", junk * 4)]
+    df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+    got = keywords.keyword_features(df).collect()
+    assert sorted(r["doc_id"] for r in got) == [*range(300), *range(1000, 1150)]
+    assert sorted(r["doc_id"] for r in got if r["flagged"]) == [*range(1000, 1150)]
+    assert len({r["total"] for r in got if r["doc_id"] >= 1000}) == 1
+
+
 def test_rank_frequency_fit(spark):
     counts = [50, 20, 20, 5, 1, 1, 1, 1]
     spectrum = spark.createDataFrame([(1, f, counts.count(f)) for f in set(counts)] + [(2, 3, 1)], "doc_id long, freq int, words long")
