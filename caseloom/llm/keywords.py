@@ -3,8 +3,9 @@
 Per page a rank-frequency curve is fitted with SQL windows; it and the page's divergence from the prose
 of its language are held against prose pages of comparable length. Prose pages are those with many of
 the language's commonest words, prose words those that enough prose pages hold. The divergence is the
-share of a page's words that prose does not have, repeated ones or all; words that label a number, as
-in laboratory panels and medication lists, count for the length but not as divergent.
+share of a page's words that prose does not have, repeated ones or all, and the excess of its most repeated
+prose word over the repeats that are usual for that word in prose pages, which grow with the length; words
+that label a number, as in laboratory panels and medication lists, count for the length but not as divergent.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ VOCABULARY_SHARE, VOCABULARY_PAGES = 0.002, 3
 MOST_LANGUAGES, MOST_BROADCAST = 100, 2_000_000
 #: Shares of divergent words that flag a page by repeated words, by all words, and by repeated ones beside an extreme curve.
 REPEATED, FOREIGN, SUSPECT = 0.09, 0.45, 0.075
+#: Excess of one prose word, as a share of the page's words, that flags a page alone and beside an extreme curve.
+STUFFED, STUFFED_SUSPECT = 0.32, 0.29
 #: Robust deviations that make slope or residual extreme, and the least deviation scale.
 EXTREME, LEAST_SCALE = 4.0, 0.05
 LEAST_WORDS = 6
@@ -105,7 +108,7 @@ def _share(words: list[str]) -> Column:
 
 
 def keyword_features(documents: DataFrame) -> DataFrame:
-    """(doc_id, language, total, share, repeated, foreign, slope, residual, flagged) of every page with words.
+    """(doc_id, language, total, share, repeated, foreign, excess, slope, residual, flagged) of every page with words.
 
     language is the page's own or, if that is null or rare, the one whose common words it has most of.
     What is common, prose or usual is counted over distinct texts, so copies of a page do not shift it.
@@ -127,21 +130,22 @@ def keyword_features(documents: DataFrame) -> DataFrame:
     known = ranked.select("page", guess.alias("language"), F.greatest(best, F.lit(0.0)).alias("share"), "total", "words")
     prose = known.where(F.col("share") >= PROSE_SHARE)
     sizes = prose.groupBy("language").agg(F.count("*").alias("prose_pages"))
-    held = prose.select("language", F.explode("words.word").alias("word")).groupBy("language", "word").agg(F.count("*").alias("held"))
+    held = prose.select("language", F.col("total").alias("length"), F.inline("words")).groupBy("language", "word").agg(F.count("*").alias("held"), F.sum(F.col("n") - 1).alias("repeats"), F.sum("length").alias("length"))
     least = F.greatest(F.lit(VOCABULARY_PAGES), F.col("prose_pages") * VOCABULARY_SHARE)
-    vocabulary = held.join(F.broadcast(sizes), "language").where(F.col("held") >= least).select("language", "word", F.lit(True).alias("prose"))  # sizes: a row a language
+    vocabulary = held.join(F.broadcast(sizes), "language").where(F.col("held") >= least).select("language", "word", (F.col("repeats") / F.col("length")).alias("rate"))  # sizes: a row a language
     vocabulary = materialize(vocabulary, "vocabulary")
     if is_small(vocabulary, MOST_BROADCAST):
         vocabulary = F.broadcast(vocabulary)
     each = known.select("page", "language", "share", "total", F.inline("words")).join(vocabulary, ["language", "word"], "left")
-    odd = F.col("prose").isNull()
+    odd = F.col("rate").isNull()
     sums = each.groupBy("page").agg(
         *(F.max(c).alias(c) for c in ("language", "share", "total")),
-        F.sum(F.when(odd & (F.col("n") > 1), F.col("free")).otherwise(0)).alias("r"), F.sum(F.when(odd, F.col("free")).otherwise(0)).alias("f")
+        F.sum(F.when(odd & (F.col("n") > 1), F.col("free")).otherwise(0)).alias("r"), F.sum(F.when(odd, F.col("free")).otherwise(0)).alias("f"),
+        F.max(F.greatest(F.lit(0.0), F.col("free") - 1 - F.col("rate") * F.col("total"))).alias("x")
     )
     spectrum = pages.select(F.col("page").alias("doc_id"), F.explode("words.n").alias("freq")).groupBy("doc_id", "freq").agg(F.count("*").alias("words"))
     rows = sums.join(spark.sql(CURVES, spectrum=spectrum).withColumnRenamed("doc_id", "page"), "page")
-    rows = materialize(rows.select("page", "language", "total", "share", (F.col("r") / F.col("total")).alias("repeated"), (F.col("f") / F.col("total")).alias("foreign"), "slope", "residual", F.floor(F.log2(F.col("total").cast("double"))).cast("int").alias("bin")), "features")
+    rows = materialize(rows.select("page", "language", "total", "share", (F.col("r") / F.col("total")).alias("repeated"), (F.col("f") / F.col("total")).alias("foreign"), (F.coalesce("x", F.lit(0.0)) / F.col("total")).alias("excess"), "slope", "residual", F.floor(F.log2(F.col("total").cast("double"))).cast("int").alias("bin")), "features")
     usual = rows.where(F.col("share") >= PROSE_SHARE).groupBy("language", "bin").agg(*(F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias("q_" + c) for c in ("slope", "residual")))
     rows = rows.join(F.broadcast(usual), ["language", "bin"], "left")  # languages x 40 lengths at most
 
@@ -151,10 +155,10 @@ def keyword_features(documents: DataFrame) -> DataFrame:
         return F.coalesce(F.abs(F.col(c) - F.get(q, F.lit(1))) / scale > EXTREME, F.lit(True))
 
     curve = extreme("slope") | extreme("residual")
-    flagged = (F.col("total") >= LEAST_WORDS) & ((F.col("repeated") >= REPEATED) | (F.col("foreign") >= FOREIGN) | ((F.col("repeated") >= SUSPECT) & curve))
-    values = ["language", "total", "share", "repeated", "foreign", "slope", "residual", "flagged"]
+    flagged = (F.col("total") >= LEAST_WORDS) & ((F.col("repeated") >= REPEATED) | (F.col("foreign") >= FOREIGN) | (F.col("excess") >= STUFFED) | (((F.col("repeated") >= SUSPECT) | (F.col("excess") >= STUFFED_SUSPECT)) & curve))
+    values = ["language", "total", "share", "repeated", "foreign", "excess", "slope", "residual", "flagged"]
     rows = ids.select("doc_id", "page").join(rows.withColumn("flagged", flagged).select("page", *values), "page").groupBy("doc_id").agg(*(F.max(c).alias(c) for c in values))
     names = documents.select(F.lower(F.trim("lang")).alias("language_name"), language_code(F.col("lang")).alias("lang")).where(F.col("lang").isin(codes)).distinct()
     named = {r["lang"]: r["language_name"] for r in names.collect()}  # at most MOST_LANGUAGES
     rows = rows.withColumn("language", F.element_at(F.array(*(F.lit(named.get(k, "und")) for k in codes)), F.col("language") + 1))
-    return rows.select("doc_id", "language", "total", *(F.round(c, 6).alias(c) for c in ("share", "repeated", "foreign", "slope", "residual")), "flagged")
+    return rows.select("doc_id", "language", "total", *(F.round(c, 6).alias(c) for c in ("share", "repeated", "foreign", "excess", "slope", "residual")), "flagged")

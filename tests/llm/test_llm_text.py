@@ -279,6 +279,19 @@ def test_copies_do_not_shift_prose(spark):
     assert len({r["total"] for r in got if r["doc_id"] >= 1000}) == 1
 
 
+def test_stuffing_with_a_prose_word(spark):
+    rnd = random.Random(9)
+    common = "the a of and was with in at by for".split()
+    nouns = [f"no{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    prose = lambda n: " ".join(" ".join([rnd.choice(common), rnd.choice(nouns), rnd.choice(common), rnd.choice(common), rnd.choice(nouns)]).capitalize() + "." for _ in range(n))
+    docs = [(i, "en", prose(rnd.randrange(5, 40))) for i in range(300)]
+    docs += [(1000 + k, "en", "\n".join(f"noaa {rnd.choice(nouns)}" for _ in range(60))) for k in range(3)]
+    docs += [(2000, "en", " ".join(rnd.choice(nouns) for _ in range(120)))]
+    got = {r["doc_id"]: r for r in keywords.keyword_features(spark.createDataFrame(docs, "doc_id long, lang string, text string")).collect()}
+    assert sorted(k for k, r in got.items() if r["flagged"]) == [1000, 1001, 1002]
+    assert got[1000]["foreign"] == 0 and got[1000]["excess"] > keywords.STUFFED > got[2000]["excess"]
+
+
 def test_rank_frequency_fit(spark):
     counts = [50, 20, 20, 5, 1, 1, 1, 1]
     spectrum = spark.createDataFrame([(1, f, counts.count(f)) for f in set(counts)] + [(2, 3, 1)], "doc_id long, freq int, words long")
