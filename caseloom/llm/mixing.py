@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.ranks import group_rank, unit
 
-#: Most sources of a target table, and most copies of a text that are told apart in the weights.
-MOST_SOURCES, MOST_COPIES = 10_000, 64
+#: Most sources of a target table.
+MOST_SOURCES = 10_000
 
 PLAN = (
     "source string, target_share double, max_repeats int, available_tokens long, target_tokens double, planned_tokens double, "
@@ -24,14 +26,17 @@ def clean_source(value: Column) -> Column:
 
 def _scale(parts: list[tuple[int, int]], goal: float, most: int) -> float:
     """c such that the sum over (copies, tokens) of min(most, c / copies) * tokens is ``goal``, or the c that repeats all."""
-    lo, hi = 0.0, float(most * max((m for m, _ in parts), default=1))
-    reach = lambda c: sum(min(most, c / m) * t for m, t in parts)
-    if reach(hi) <= goal:
-        return hi
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if reach(mid) < goal else (lo, mid)
-    return hi
+    parts = sorted(parts)
+    most_of_all = float(most * max((m for m, _ in parts), default=1))
+    if sum(most * t for _, t in parts) <= goal:
+        return most_of_all
+    rest = list(accumulate(t / m for m, t in reversed(parts)))[::-1]  # tokens a unit of c from here on
+    full = 0
+    for (m, t), slope in zip(parts, rest, strict=True):  # those before are repeated most times
+        if slope > 0 and (c := (goal - most * full) / slope) <= most * m:
+            return max(0.0, c)
+        full += t
+    return most_of_all
 
 
 def plan_mixture(docs: DataFrame, targets: DataFrame) -> DataFrame:
@@ -47,12 +52,12 @@ def plan_mixture(docs: DataFrame, targets: DataFrame) -> DataFrame:
     rows = want.limit(MOST_SOURCES + 1).collect()
     if len(rows) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    sums = docs.groupBy("source_key", F.least("copies", F.lit(MOST_COPIES)).alias("copies")).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n"))
+    sums = docs.groupBy("source_key", "copies").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n"))
     named = F.broadcast(targets.select(clean_source(F.col("source")).alias("source_key"), F.lit(True).alias("named")).distinct())
-    sums = sums.join(named, "source_key", "left").withColumn("source_key", F.when(F.col("named"), F.col("source_key")))
+    sums = sums.join(named, "source_key", "left").withColumn("source_key", F.when(F.col("named"), F.col("source_key"))).withColumn("copies", F.when(F.col("named"), F.col("copies")))
     sums = sums.groupBy("source_key", "copies").agg(F.sum("tokens").alias("tokens"), F.sum("n").alias("n"))
     by: dict = {}
-    for r in sums.collect():  # at most MOST_SOURCES x MOST_COPIES rows
+    for r in sums.collect():  # n rows of a source have at most sqrt(2 n) different numbers of copies
         by.setdefault(r["source_key"], []).append((r["copies"], r["tokens"] or 0, r["n"]))
     total = sum(t for parts in by.values() for _, t, _ in parts)
     plan = []
@@ -76,7 +81,7 @@ def mix_documents(docs: DataFrame, plan: DataFrame, seed: int = 5) -> DataFrame:
     """
     keyed = F.broadcast(plan.withColumn("source_key", clean_source(F.col("source"))).select("source_key", "source", "scale", "max_repeats"))  # at most MOST_SOURCES rows
     rows = docs.select("doc_id", "source_key", "tokens", "copies").join(keyed, "source_key")
-    wish = F.least(F.col("max_repeats").cast("double"), F.col("scale") / F.least("copies", F.lit(MOST_COPIES)))
+    wish = F.least(F.col("max_repeats").cast("double"), F.col("scale") / F.col("copies"))
     rows = rows.withColumn("wish", wish).withColumn("whole", F.floor(F.col("wish") + 1e-9).cast("long"))
     rows = rows.withColumn("part", F.greatest(F.col("wish") - F.col("whole"), F.lit(0.0)))
     rows = rows.withColumn("part", F.when(F.col("part") > 1e-9, F.col("part")).otherwise(0.0))

@@ -202,6 +202,16 @@ def test_mixture(spark):
     assert mixing.plan_mixture(sized, t.limit(0)).count() == 0
 
 
+def test_many_copies_share_the_weight_of_one_text(spark):
+    df = spark.createDataFrame([(i, "s", "same" if i < 200 else "t%d" % i) for i in range(400)], "doc_id long, source string, text string")
+    t = spark.createDataFrame([("s", 0.25, 1), ("other", 0.0, 1)], "source string, target_share double, max_repeats int")
+    sized = mixing.sized_documents(df, F.lit(10).cast("long"))
+    plan = mixing.plan_mixture(sized, t)
+    assert plan.where("source = 's'").first()["scale"] == pytest.approx(100 / 201)  # 200 texts and one that 200 rows share
+    drawn = [mixing.mix_documents(sized, plan, seed=k).where("doc_id < 200").count() for k in range(6)]
+    assert sum(drawn) <= 6 and mixing._scale([(1, 10), (3, 30), (1000, 1000)], 53.0, 2) == pytest.approx(3.0)
+
+
 def test_pareto_keeps_inclusion_probabilities(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.lit("s").alias("source_key"), F.lit(1).cast("long").alias("tokens"), F.when(F.col("id") < 100, 4).otherwise(1).alias("copies"))
     t = spark.createDataFrame([("s", 0.5, 1)], "source string, target_share double, max_repeats int")
