@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.session import is_small, materialize
+from caseloom.session import discard, is_small, materialize
 
 DECISIONS = ("accept", "reject", "uncertain")
 #: Most annotators whose parameters are broadcast; beyond, they are joined by a shuffle.
@@ -35,8 +35,9 @@ def latest_votes(reviews: DataFrame, cases: DataFrame) -> DataFrame:
     return rows.groupBy("case_id", "annotator").agg(F.max(F.struct(at.alias("at"), "vote")).alias("last")).select("case_id", "annotator", F.col("last.vote").alias("vote"))
 
 
-def _with(rows: DataFrame, params: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(params) if is_small(params, MOST_BROADCAST) else params, "annotator")
+def _voted(k: int):
+    """A test for votes ``k``; a second argument of the lambda would be taken for the index."""
+    return lambda x: x["vote"] == k
 
 
 class Consensus:
@@ -46,29 +47,34 @@ class Consensus:
     eigenvector of the matrix of their agreement beyond chance, where chance follows each one's own
     shares of decisions and each entry is weighted by the number of cases both voted on. Its products are
     sums over the votes joined with the vector, so neither the matrix nor pairs of votes are formed. The
-    reliabilities weight the votes; from the weighted consensus each annotator's share of each vote
-    given each merited decision is estimated, ``refine`` times, for annotators who err in one direction.
+    reliabilities weight the votes, and the weighted votes decide. From that consensus each annotator's
+    share of each vote given each merited decision is estimated for the report; only with ``refine`` above
+    0 do these shares weight the votes anew, that many times, for annotators who err in one direction.
     """
 
-    def __init__(self, votes: DataFrame, refine: int = 2) -> None:
+    def __init__(self, votes: DataFrame, refine: int = 0) -> None:
         ballots = votes.groupBy("case_id").agg(F.sort_array(F.collect_set(F.struct("annotator", "vote"))).alias("ballot"))
         self.cases = materialize(ballots.withColumn("pattern", F.xxhash64("ballot")), "ballots")
         patterns = self.cases.groupBy("pattern").agg(F.first("ballot").alias("ballot"), F.count("*").cast("double").alias("n"))
         self.rows = materialize(patterns.select("pattern", "n", F.inline("ballot")), "patterns")
         share = [F.sum(F.when(F.col("vote") == k, F.col("n")).otherwise(0.0)) for k in range(3)]
         self.annotators = materialize(self.rows.groupBy("annotator").agg(F.sum("n").alias("total"), *((s / F.sum("n")).alias(f"c{k}") for k, s in enumerate(share))), "annotators")
+        self.small = is_small(self.annotators, MOST_BROADCAST)
         self.reliability = self._power()
-        self.confusion = None
         self.scores = self._spectral_scores()
         for _ in range(refine):
             self._refine()
 
+    def _with(self, rows: DataFrame, params: DataFrame) -> DataFrame:
+        """``rows`` with the annotators' ``params``, a row each."""
+        return rows.join(F.broadcast(params) if self.small else params, "annotator")
+
     def _power(self) -> DataFrame:
         """(annotator, total, c0, c1, c2, v, p): v of the eigenvector, p the chance of the merited decision."""
         state = self.annotators.withColumn("v", F.lit(0.7))
-        c = [F.col(f"c{k}") for k in range(3)]
+        usual, c = 0.49, [F.col(f"c{k}") for k in range(3)]
         for _ in range(ROUNDS):
-            rows = _with(self.rows, state)
+            rows = self._with(self.rows, state)
             case = rows.groupBy("pattern").agg(
                 *(F.sum(F.when(F.col("vote") == k, F.col("v")).otherwise(0.0)).alias(f"V{k}") for k in range(3)),
                 *(F.sum(c[k] * F.col("v")).alias(f"U{k}") for k in range(3)),
@@ -78,13 +84,13 @@ class Consensus:
             alike = F.element_at(F.array("V0", "V1", "V2"), F.col("vote") + 1) - F.col("v")
             chance = sum((c[k] * (F.col(f"U{k}") - c[k] * F.col("v")) for k in range(3)), F.lit(0.0))
             sums = both.groupBy("annotator").agg(F.sum(F.col("n") * (alike - chance)).alias("num"), F.sum(F.col("n") * (F.col("Q") - F.col("v") * F.col("v"))).alias("den"))
-            usual = state.agg(F.avg(F.col("v") * F.col("v")).alias("usual"))
-            new = state.withColumnRenamed("v", "old").join(sums, "annotator").crossJoin(F.broadcast(usual))  # one row
-            step = F.col("num") / (F.col("den") + PRIOR_WEIGHT * F.col("usual") + 1e-9)
-            new = new.select("annotator", "total", *c, ((F.col("old") + step) / 2).alias("v"), "old")
-            state = materialize(new, "vector")
-            moved = state.agg(F.max(F.abs(F.col("v") - F.col("old")))).first()[0]
-            state = state.drop("old")
+            step = F.col("num") / (F.col("den") + PRIOR_WEIGHT * usual + 1e-9)
+            new = state.withColumnRenamed("v", "old").join(sums, "annotator").select("annotator", "total", *c, ((F.col("old") + step) / 2).alias("v"), "old")
+            last, new = state, materialize(new, "vector")
+            moved, usual = new.agg(F.max(F.abs(F.col("v") - F.col("old"))), F.avg(F.col("v") * F.col("v"))).first()
+            discard(last)
+            state = new.drop("old")
+            state._caseloom_path = new._caseloom_path
             if moved is None or moved < CLOSE:
                 break
         weight = F.pow(F.greatest("v", F.lit(0.0)), 2) * F.col("total")
@@ -101,7 +107,7 @@ class Consensus:
         return materialize(rows.groupBy("pattern").agg(*((F.sum(g) + math.log(max(self.prior[k], 1e-6))).alias(f"s{k}") for k, g in enumerate(gains))), "scores")
 
     def _spectral_scores(self) -> DataFrame:
-        rows = _with(self.rows, self.reliability.select("annotator", "p"))
+        rows = self._with(self.rows, self.reliability.select("annotator", "p"))
         weight = F.log(2 * F.col("p") / (1 - F.col("p")))
         return self._totals([F.when(F.col("vote") == k, weight).otherwise(0.0) for k in range(3)], rows)
 
@@ -111,8 +117,8 @@ class Consensus:
         e = [F.exp(F.col(f"s{k}") - top) for k in range(3)]
         return scores.select("pattern", *((e[k] / (e[0] + e[1] + e[2])).alias(f"q{k}") for k in range(3)))
 
-    def _refine(self) -> None:
-        rows = self.rows.join(self._posterior(self.scores), "pattern")
+    def _confusion(self, rows: DataFrame) -> DataFrame:
+        """(annotator, tck): the share of vote k given decision c, from ``rows`` with the posterior shares of their pattern."""
         cells = [F.sum(F.when(F.col("vote") == k, F.col("n") * F.col(f"q{c}")).otherwise(0.0)).alias(f"m{c}{k}") for c in range(3) for k in range(3)]
         counts = rows.groupBy("annotator").agg(*cells).join(self.reliability.select("annotator", "p"), "annotator")
         table = []
@@ -120,11 +126,14 @@ class Consensus:
             prior = [F.lit(PRIOR_ROWS) * (F.col("p") if k == c else (1 - F.col("p")) / 2) for k in range(3)]
             whole = sum((F.col(f"m{c}{k}") for k in range(3)), F.lit(PRIOR_ROWS))
             table += [((F.col(f"m{c}{k}") + prior[k]) / whole).alias(f"t{c}{k}") for k in range(3)]
-        self.confusion = materialize(counts.select("annotator", *table), "confusion")
+        return materialize(counts.select("annotator", *table), "confusion")
+
+    def _refine(self) -> None:
+        rows = self.rows.join(self._posterior(self.scores), "pattern")
         sums = rows.select("pattern", "n", "q0", "q1", "q2").distinct().agg(*(F.sum(F.col("n") * F.col(f"q{k}")).alias(f"r{k}") for k in range(3)), F.sum("n").alias("n")).first()
         if sums["n"]:
             self.prior = [sums[f"r{k}"] / sums["n"] for k in range(3)]
-        rows = _with(self.rows, self.confusion)
+        rows = self._with(self.rows, self._confusion(rows))
         self.scores = self._totals([F.log(F.element_at(F.array(*(F.col(f"t{c}{k}") for k in range(3))), F.col("vote") + 1)) for c in range(3)], rows)
 
     def decisions(self) -> DataFrame:
@@ -137,7 +146,7 @@ class Consensus:
         best = F.greatest(*q)
         name = F.when(q[0] == best, DECISIONS[0]).when(q[1] == best, DECISIONS[1]).otherwise(DECISIONS[2])
         n = F.size("ballot").cast("double")
-        same = [F.size(F.filter("ballot", lambda x, k=k: x["vote"] == k)).cast("double") for k in range(3)]
+        same = [F.size(F.filter("ballot", _voted(k))).cast("double") for k in range(3)]
         alike = F.when(n > 1, sum((m * (m - 1) for m in same), F.lit(0.0)) / (n * (n - 1)))
         out = self.cases.join(self._posterior(self.scores), "pattern")
         return out.select("case_id", n.cast("long").alias("votes"), F.round(alike, 6).alias("agreement"), name.alias("consensus_decision"), F.round(best, 6).alias("confidence"))
@@ -145,7 +154,8 @@ class Consensus:
     def annotator_reliability(self) -> DataFrame:
         """(annotator, votes, reliability, right_accept, right_reject, right_uncertain)."""
         right = [F.round(f"t{k}{k}", 6).alias("right_" + d) for k, d in enumerate(DECISIONS)]
-        return self.reliability.join(self.confusion, "annotator").select("annotator", F.col("total").cast("long").alias("votes"), F.round("p", 6).alias("reliability"), *right)
+        shares = self._confusion(self.rows.join(self._posterior(self.scores), "pattern"))
+        return self.reliability.join(shares, "annotator").select("annotator", F.col("total").cast("long").alias("votes"), F.round("p", 6).alias("reliability"), *right)
 
 
 def contested(decisions: DataFrame) -> DataFrame:

@@ -48,6 +48,21 @@ WITH RECURSIVE img AS (
 ), both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges)"""
     + _CHAIN
     + "SELECT root AS group_case_id, node AS case_id FROM lowest WHERE root <> node",
+    "p2_agreement": """
+WITH r AS (
+  SELECT case_id, 'a:' || model AS annotator, decision, raw_text_sha256, reviewed_at FROM reviewer_a
+  UNION ALL SELECT case_id, 'b:' || model, decision, raw_text_sha256, reviewed_at FROM reviewer_b
+  UNION ALL SELECT case_id, 'm:' || model, decision, raw_text_sha256, reviewed_at FROM medgemma_labels
+  UNION ALL SELECT case_id, 'h:' || lower(trim(reviewer_id)), human_decision, raw_text_sha256, reviewed_at FROM human_label_adjudications
+), d AS (
+  SELECT r.*, CASE lower(trim(decision)) WHEN 'accept' THEN 0 WHEN 'accepted' THEN 0 WHEN 'reject' THEN 1 WHEN 'rejected' THEN 1 WHEN 'uncertain' THEN 2 END AS vote
+  FROM r JOIN (SELECT DISTINCT case_id, raw_text_sha256 FROM cases) USING (case_id, raw_text_sha256) WHERE annotator IS NOT NULL
+), v AS (
+  SELECT case_id, annotator, arg_max(vote, (coalesce(try_cast(reviewed_at AS TIMESTAMPTZ), '0001-01-01'::TIMESTAMPTZ), vote)) AS vote FROM d WHERE vote IS NOT NULL GROUP BY 1, 2
+), k AS (SELECT case_id, vote, count(*) AS m FROM v GROUP BY 1, 2
+), s AS (SELECT case_id, sum(m)::BIGINT AS votes, sum(m * (m - 1))::DOUBLE AS alike FROM k GROUP BY 1)
+SELECT case_id, votes, CASE WHEN votes > 1 THEN round(alike / (votes * (votes - 1)), 6) END AS agreement,
+  votes >= 3 AND alike < votes * (votes - 1) AS contested FROM s""",
     "p5_found": """
 SELECT DISTINCT t.diagnosis_label, t.fold FROM sample_targets t LEFT JOIN (
   SELECT upper(trim(m.diagnosis_label)) AS label, a.fold, count(DISTINCT m.sample_id) AS n

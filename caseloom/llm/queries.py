@@ -34,6 +34,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return consensus.contested(_consensus(spark, d).decisions())
 
 
+def p2_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """Votes and agreement of every case; contested tells the cases of p2_found."""
+    out = _consensus(spark, d).decisions()
+    return out.select("case_id", "votes", "agreement", (F.coalesce(F.col("agreement") < 1, F.lit(False)) & (F.col("votes") >= 3)).alias("contested"))
+
+
 def p2_consensus(spark: SparkSession, d: str) -> DataFrame:
     return _consensus(spark, d).decisions()
 

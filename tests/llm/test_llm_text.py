@@ -254,6 +254,41 @@ def test_votes(spark):
     assert len(tie) == 1 and tie[0]["agreement"] == 0.0 and tie[0]["votes"] == 3
 
 
+def test_agreement_of_mixed_ballots(spark):
+    ballots = {"same": (2, 2, 2), "torn": (1, 1, 0), "pair": (0, 0), "mixed": (0, 0, 1, 1), "one": (1,)}
+    votes = [(c, f"m{i}", v) for c, b in ballots.items() for i, v in enumerate(b)]
+    got = consensus.Consensus(spark.createDataFrame(votes, "case_id string, annotator string, vote int")).decisions()
+    assert {r["case_id"]: r["agreement"] for r in got.collect()} == {"same": 1.0, "torn": 0.333333, "pair": 1.0, "mixed": 0.333333, "one": None}
+    assert [r["case_id"] for r in consensus.contested(got).orderBy("case_id").collect()] == ["mixed", "torn"]
+
+
+def test_spectral_vector(spark):
+    """The sparse iteration ends at the eigenvector that a dense agreement matrix has."""
+    rnd = random.Random(11)
+    good = [0.95, 0.85, 0.75, 0.6, 0.45]
+    votes = []
+    for i in range(800):
+        t = rnd.choice([0, 0, 1, 2])
+        votes += [(i, a, t if rnd.random() < good[a] else rnd.randrange(3)) for a in rnd.sample(range(5), 4)]
+    c = consensus.Consensus(spark.createDataFrame([(f"c{i}", f"m{a}", v) for i, a, v in votes], "case_id string, annotator string, vote int"))
+    table = np.full((800, 5), -1)
+    for i, a, v in votes:
+        table[i, a] = v
+    share = np.array([[(table[:, a] == k).sum() / (table[:, a] >= 0).sum() for k in range(3)] for a in range(5)])
+    num, overlap = np.zeros((5, 5)), np.zeros((5, 5))
+    for a in range(5):
+        for b in range(5):
+            both = (table[:, a] >= 0) & (table[:, b] >= 0)
+            if a != b:
+                overlap[a, b] = both.sum()
+                num[a, b] = (table[both, a] == table[both, b]).sum() - both.sum() * share[a] @ share[b]
+    v = np.full(5, 0.7)
+    for _ in range(500):
+        v = (v + num @ v / (overlap @ (v * v) + consensus.PRIOR_WEIGHT * np.mean(v * v))) / 2
+    got = {r["annotator"]: r["v"] for r in c.reliability.collect()}
+    assert all(abs(got[f"m{a}"] - v[a]) < 0.01 for a in range(5))
+
+
 # Keyword pages
 
 
