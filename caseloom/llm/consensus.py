@@ -10,7 +10,8 @@ from caseloom.session import discard, is_small, materialize
 DECISIONS = ("accept", "reject", "uncertain")
 #: Most annotators whose parameters are broadcast; beyond, they are joined by a shuffle.
 MOST_BROADCAST = 100_000
-ROUNDS, CLOSE = 30, 1e-3
+#: Most rounds of the power iteration, the largest move that ends it, and the share of the old vector that is kept.
+ROUNDS, CLOSE, KEPT = 30, 2e-3, 0.25
 #: Rows that an annotator's estimates start with.
 PRIOR_WEIGHT, PRIOR_ROWS = 5.0, 10.0
 
@@ -72,8 +73,8 @@ class Consensus:
     def _power(self) -> DataFrame:
         """(annotator, total, c0, c1, c2, v, p): v of the eigenvector, p the chance of the merited decision."""
         state = self.annotators.withColumn("v", F.lit(0.7))
-        usual, c = 0.49, [F.col(f"c{k}") for k in range(3)]
-        for _ in range(ROUNDS):
+        usual, done, c = 0.49, None, [F.col(f"c{k}") for k in range(3)]
+        for self.rounds in range(1, ROUNDS + 1):
             rows = self._with(self.rows, state)
             case = rows.groupBy("pattern").agg(
                 *(F.sum(F.when(F.col("vote") == k, F.col("v")).otherwise(0.0)).alias(f"V{k}") for k in range(3)),
@@ -85,13 +86,19 @@ class Consensus:
             chance = sum((c[k] * (F.col(f"U{k}") - c[k] * F.col("v")) for k in range(3)), F.lit(0.0))
             sums = both.groupBy("annotator").agg(F.sum(F.col("n") * (alike - chance)).alias("num"), F.sum(F.col("n") * (F.col("Q") - F.col("v") * F.col("v"))).alias("den"))
             step = F.col("num") / (F.col("den") + PRIOR_WEIGHT * usual + 1e-9)
-            new = state.withColumnRenamed("v", "old").join(sums, "annotator").select("annotator", "total", *c, ((F.col("old") + step) / 2).alias("v"), "old")
-            last, new = state, materialize(new, "vector")
-            moved, usual = new.agg(F.max(F.abs(F.col("v") - F.col("old"))), F.avg(F.col("v") * F.col("v"))).first()
-            discard(last)
-            state = new.drop("old")
-            state._caseloom_path = new._caseloom_path
-            if moved is None or moved < CLOSE:
+            new = state.withColumnRenamed("v", "old").join(sums, "annotator").select("annotator", "total", *c, step.alias("step"), "old")
+            new = materialize(new, "vector")
+            moved, size, old = new.agg(F.max(F.abs(F.col("step") - F.col("old"))), F.avg(F.col("step") * F.col("step")), F.avg(F.col("old") * F.col("old"))).first()
+            if done is not None:
+                discard(done)
+            done = new
+            if moved is None:  # no votes
+                break
+            # The step's length is inverse to the old one's: their geometric mean is what the fixed point has.
+            scale = (old / size) ** 0.25 if size > 0 else 1.0
+            state = new.select("annotator", "total", *c, (F.col("old") * KEPT + F.col("step") * (scale * (1 - KEPT))).alias("v"))
+            usual = (old * size) ** 0.5
+            if moved < CLOSE:
                 break
         weight = F.pow(F.greatest("v", F.lit(0.0)), 2) * F.col("total")
         first = state.agg(*(F.sum(weight * x).alias(f"r{k}") for k, x in enumerate(c)), F.sum(weight).alias("w")).first()
