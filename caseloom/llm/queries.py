@@ -89,6 +89,13 @@ def p5_quotas(spark: SparkSession, d: str) -> DataFrame:
     return _spelled(sampling.sample_quotas(_samples(spark, d), targets), targets).select("diagnosis_label", "fold", "available", "wanted", "quota", "shortfall")
 
 
+def p5_shortfalls(spark: SparkSession, d: str) -> DataFrame:
+    """Of each target cell the rows there, the rows wanted at least and those missing; quotas between them hold their floors."""
+    q = p5_quotas(spark, d)
+    kept = (F.col("quota") >= F.least("wanted", "available")) & (F.col("quota") <= F.col("available"))
+    return q.select("diagnosis_label", "fold", "available", "wanted", "shortfall", kept.alias("floor_kept"))
+
+
 def p5_sample(spark: SparkSession, d: str) -> DataFrame:
     samples = _samples(spark, d)
     return sampling.draw_sample(samples, sampling.sample_quotas(samples, table(spark, d, "sample_targets")))
@@ -106,6 +113,17 @@ def p6_splits(spark: SparkSession, d: str) -> DataFrame:
     return splits.assign_splits(_related(spark, d), splits.case_labels(table(spark, d, "assignments")), table(spark, d, "split_targets"))
 
 
+def p6_check(spark: SparkSession, d: str) -> DataFrame:
+    """Of each split its target, whether its share of the cases is within a hundredth of it, and components that are torn."""
+    out = p6_splits(spark, d)
+    torn = out.groupBy("component").agg(F.count_distinct("split").alias("n")).where("n > 1").agg(F.count("*").alias("torn"))
+    whole = out.agg(F.count("*").alias("cases"), F.count_distinct("case_id").alias("distinct_cases"))
+    got = out.groupBy(F.col("split").alias("split_name")).agg(F.count("*").alias("n"))
+    rows = table(spark, d, "split_targets").select("split_name", "target_share").join(got, "split_name", "left").crossJoin(whole).crossJoin(torn)  # one row each
+    near = F.abs(F.coalesce("n", F.lit(0)) / F.col("cases") - F.col("target_share")) <= 0.01
+    return rows.select("split_name", "cases", "distinct_cases", near.alias("near_target"), "torn")
+
+
 def _packed(spark: SparkSession, d: str) -> DataFrame:
     capacity = table(spark, d, "pack_limits").agg(F.max("capacity_tokens")).first()[0]
     return packing.pack_documents(table(spark, d, "documents").select("doc_id", word_count(F.col("text")).alias("tokens")), int(capacity))
@@ -119,6 +137,16 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     return _packed(spark, d)
 
 
+def p7_check(spark: SparkSession, d: str) -> DataFrame:
+    """One row: documents, their tokens, documents in pieces, containers over the capacity, and short documents that are cut."""
+    capacity = int(table(spark, d, "pack_limits").agg(F.max("capacity_tokens")).first()[0])
+    out = _packed(spark, d)
+    full = out.where("container is not null").groupBy("container").agg(F.sum("tokens").alias("t")).agg(F.count_if(F.col("t") > capacity).alias("overfull"))
+    docs = out.groupBy("doc_id").agg(F.sum("tokens").alias("t"), F.max("pieces").alias("p"), F.count("*").alias("n"))
+    sums = docs.agg(F.count("*").alias("documents"), F.sum("t").alias("tokens"), F.count_if(F.col("p") > 1).alias("in_pieces"), F.count_if(((F.col("p") > 1) & (F.col("t") <= capacity)) | (F.col("n") != F.greatest("p", F.lit(1)))).alias("wrongly_cut"))
+    return sums.crossJoin(full)  # one row each
+
+
 def _mix_plan(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = mixing.sized_documents(table(spark, d, "documents"), word_count(F.col("text")))
     return docs, mixing.plan_mixture(docs, table(spark, d, "mix_targets"))
@@ -137,6 +165,14 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_report(plan, mixing.mix_documents(docs, plan))
 
 
+def p8_check(spark: SparkSession, d: str) -> DataFrame:
+    """Of each source what is there and wanted, and whether its documents were used no more often than allowed and as much as planned."""
+    r = p8_report(spark, d)
+    goal = F.least("target_tokens", F.col("available_tokens") * F.col("max_repeats"))
+    near = F.abs(F.col("actual_tokens") - goal) <= F.greatest(F.lit(20_000), goal * 0.1)  # sizes of single documents
+    return r.select("source", "available_tokens", "target_tokens", "filled", (F.col("most_used") <= F.col("max_repeats")).alias("allowed"), near.alias("near_target"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return keywords.keyword_features(table(spark, d, "documents")).where("flagged").select("doc_id")
 
