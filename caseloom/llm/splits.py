@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,14 +12,14 @@ from caseloom.llm.components import connected_components, star_edges
 from caseloom.llm.flow import Network
 from caseloom.llm.ranks import group_rank, unit
 from caseloom.llm.sampling import clean_label
-from caseloom.session import materialize
+from caseloom.session import is_small, materialize
 
 #: Spellings that name no patient, in lower case. Values without a letter or digit name none either.
 PLACEHOLDERS = ["unknown", "none", "n/a", "na", "n.a.", "nil", "null", "nan", "unk", "missing", "not available", "not applicable", "not known", "not recorded", "undefined", "tbd"]
-#: Bundles with a label profile of their own in the flow; the others are told apart by size class only.
-MOST_BUNDLES = 150
-#: Component sizes up to this are told apart exactly, larger ones by steps of a tenth.
-EXACT_SIZE = 32
+#: Bundles that one network holds; the next ones are solved against what these left of the quotas.
+BLOCK = 20_000
+#: Rows of a plan that are broadcast; beyond, they are joined by a shuffle.
+MOST_BROADCAST = 100_000
 
 
 def clean_link(value: Column) -> Column:
@@ -60,50 +61,53 @@ def torn_cases(related: DataFrame, assignments: DataFrame) -> DataFrame:
     return rows.join(torn, "component", "left_semi").select("case_id", "component").distinct()
 
 
-def _size_class(size: Column) -> Column:
-    big = F.floor(F.log(F.greatest(size, F.lit(EXACT_SIZE)) / EXACT_SIZE) / math.log(1.1)).cast("long") + EXACT_SIZE + 1
-    return F.when(size <= EXACT_SIZE, size).otherwise(big)
+class SplitPlan:
+    """Integer numbers of components for each bundle and split, planned block by block.
 
-
-def plan_splits(bundles: list[dict], shares: dict[str, float]) -> list[dict]:
-    """Integer numbers of components for each bundle (size_class, profile, components, records) and split.
-
-    Flow units are records. A bundle sends its records to the splits; a split takes its quota free of
-    charge and more at a rising cost, and so does each label's share in it. Bundles of components that
-    are large beside the quotas are solved and rounded first, then the others against what is left;
-    what rounding takes from a split is given back with the next bundle.
+    ``whole`` is the number of records, ``labels`` that of each label. A bundle is all components of one
+    size and one label profile (records of each label, 0 for records without). Flow units are records:
+    a bundle sends its records to the splits, past the quota of its commonest label in the split, which
+    costs nothing up to the quota and a unit beyond, and past the split's quota, where deviations cost
+    more the larger they are. Bundles come by falling size. Each block of about equal sizes gets, of what is
+    left of every quota, the share of its records among those left, so that no block takes the room of the
+    others; after it the quotas are reduced by what was given, with all labels of the profile. What rounding
+    to whole components takes from a split is given back with the block's next bundle.
     """
-    names, whole = sorted(shares), sum(b["records"] for b in bundles)
-    total = sum(shares.values()) or 1
-    quota = {s: shares[s] / total * whole for s in names}
-    by_label: dict = {}
-    for b in bundles:
-        by_label[b["profile"]] = by_label.get(b["profile"], 0) + b["records"]
-    label_quota = {(p, s): n * shares[s] / total for p, n in by_label.items() for s in names}
-    large = [b for b in bundles if b["records"] / b["components"] >= whole / 1000]
-    small = [b for b in bundles if b["records"] / b["components"] < whole / 1000]
-    out = []
-    for part in (large, small):
-        net, arcs = Network(), {}
-        # The large ones get their own share of each quota, the small ones all that is left then.
-        mass = sum(b["records"] for b in part) / (whole or 1) if part is large else 1.0
-        for i, b in enumerate(part):
-            net.arc("source", ("bundle", i), b["records"])
+
+    def __init__(self, shares: dict[str, float], whole: int, labels: dict) -> None:
+        self.names, self.left, self.left_of = sorted(shares), whole, dict(labels)
+        total = sum(shares.values()) or 1
+        self.share = {s: shares[s] / total for s in self.names}
+        self.quota = {s: self.share[s] * whole for s in self.names}
+        self.label_quota = {(p, s): n * self.share[s] for p, n in labels.items() for s in self.names}
+
+    def block(self, bundles: list[dict]) -> list[list[int]]:
+        """For each of ``bundles`` (size, profile, components) how many components each of ``names`` gets."""
+        net, arcs, names = Network(), {}, self.names
+        records = [b["size"] * b["components"] for b in bundles]
+        lead = [max(b["profile"], key=lambda p, b=b: (b["profile"][p], p), default=None) for b in bundles]
+        mass, mass_of = sum(records), {}
+        for r, p in zip(records, lead, strict=True):
+            mass_of[p] = mass_of.get(p, 0) + r
+        for i, r in enumerate(records):
+            net.arc("source", ("bundle", i), r)
             for s in names:
-                arcs[i, s] = net.arc(("bundle", i), ("label", b["profile"], s), b["records"])
-        for p in sorted({b["profile"] for b in part}, key=str):
+                arcs[i, s] = net.arc(("bundle", i), ("label", lead[i], s), r)
+        for p in sorted(mass_of, key=str):
+            part = min(1.0, mass_of[p] / max(1, self.left_of.get(p, 0)))
             for s in names:
-                net.arc(("label", p, s), ("split", s), max(0, round(label_quota[p, s] * mass)), 0)
-                net.arc(("label", p, s), ("split", s), whole, 1)
+                net.arc(("label", p, s), ("split", s), max(0, round(self.label_quota.get((p, s), 0) * part)), 0)
+                net.arc(("label", p, s), ("split", s), mass, 1)
+        part = mass / max(1, self.left)
         for s in names:
-            room = max(0, round(quota[s] * mass))
+            room = max(0, round(self.quota[s] * part))
             net.arc(("split", s), "sink", room, 0)
             net.arc(("split", s), "sink", room // 50 + 1, 20)
-            net.arc(("split", s), "sink", whole, 200)
+            net.arc(("split", s), "sink", mass, 200)
         net.solve("source", "sink")
-        owed = dict.fromkeys(names, 0.0)
-        for i, b in sorted(enumerate(part), key=lambda x: (-x[1]["records"] / x[1]["components"], str(x[1]["profile"]), x[0])):
-            size = b["records"] / b["components"]
+        owed, out = dict.fromkeys(names, 0.0), []
+        for i, b in enumerate(bundles):
+            size = b["size"]
             flow = {s: net.flow(arcs[i, s]) / size for s in names}
             given = {s: math.floor(flow[s] + 1e-9) for s in names}
             for s in names:
@@ -113,44 +117,66 @@ def plan_splits(bundles: list[dict], shares: dict[str, float]) -> list[dict]:
                 given[s] += 1
                 owed[s] -= size
             for s in names:
-                quota[s] -= given[s] * size
-                label_quota[b["profile"], s] -= given[s] * size
-            out.append({"size_class": b["size_class"], "profile": b["profile"], **{"n_" + s: given[s] for s in names}})
-    return out
+                self.quota[s] -= given[s] * size
+                for p, n in b["profile"].items():
+                    if (p, s) in self.label_quota:
+                        self.label_quota[p, s] -= given[s] * n
+            for p, n in b["profile"].items():
+                self.left_of[p] = self.left_of.get(p, 0) - n * b["components"]
+            self.left -= records[i]
+            out.append([given[s] for s in names])
+        return out
+
+
+def plan_blocks(bundles: Iterable[dict], most: int = BLOCK) -> Iterator[list[dict]]:
+    """``bundles`` by falling size in blocks of sizes within a factor of two and of at most ``most`` bundles."""
+    block: list[dict] = []
+    for b in bundles:
+        if block and (len(block) >= most or 2 * b["size"] <= block[0]["size"]):
+            yield block
+            block = []
+        block.append(b)
+    if block:
+        yield block
 
 
 def assign_splits(related: DataFrame, labels: DataFrame, targets: DataFrame, seed: int = 11) -> DataFrame:
     """(case_id, component, split) for every row of ``related``; all cases of a component get one split.
 
-    ``labels`` has (case_id, label), ``targets`` (split_name, target_share), at most 100 splits.
-    Components of one size class and commonest label form a bundle; the planned numbers of each
-    bundle are dealt to its components in hash order. Without targets no row comes out.
+    ``labels`` has (case_id, label), ``targets`` (split_name, target_share), one row a split. Components of
+    identical size and label profile form a bundle; the planned numbers of each bundle are dealt to its
+    components in hash order. The driver holds the targets, the totals of the labels and one block of
+    bundles at a time. Without targets no row comes out.
     """
     spark = related.sparkSession
-    shares = {r[0]: float(r[1]) for r in targets.where("split_name is not null and target_share > 0").groupBy("split_name").agg(F.max("target_share")).limit(100).collect()}
-    sized = related.groupBy("component").agg(F.count("*").alias("size"))
-    counted = related.join(labels.where("label is not null").distinct(), "case_id").groupBy("component", "label").agg(F.count("*").alias("n"))
-    top = counted.groupBy("component").agg(F.max_by("label", F.struct("n", "label")).alias("profile"))
-    parts = materialize(sized.join(top, "component", "left").select("component", "size", _size_class(F.col("size")).alias("size_class"), F.coalesce("profile", F.lit("")).alias("profile")), "bundles")
-    sums = parts.groupBy("size_class", "profile").agg(F.count("*").alias("components"), F.sum("size").alias("records"))
-    lead = sums.orderBy(F.desc("records"), "size_class", "profile").limit(MOST_BUNDLES)
-    named = lead.select("size_class", "profile", F.lit(True).alias("named"))
-    rest = sums.join(F.broadcast(named), ["size_class", "profile"], "left_anti").groupBy("size_class").agg(F.sum("components").alias("components"), F.sum("records").alias("records"))
-    bundles = [r.asDict() for r in lead.collect()] + [{**r.asDict(), "profile": None} for r in rest.collect()]  # size classes: a few hundred
-    if not bundles or not shares:
+    shares = {r[0]: float(r[1]) for r in targets.where("split_name is not null and target_share > 0").groupBy("split_name").agg(F.max("target_share")).collect()}
+    labelled = labels.where("label is not null").groupBy("case_id").agg(F.min("label").alias("label"))
+    counted = related.join(labelled, "case_id", "left").groupBy("component", "label").agg(F.count("*").alias("n"))
+    profile = F.array_sort(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "n"))))
+    parts = counted.groupBy("component").agg(F.sum("n").alias("size"), profile.alias("profile"))
+    parts = materialize(parts.withColumn("bundle", F.xxhash64("size", "profile")), "bundles")
+    sums = materialize(parts.groupBy("bundle").agg(F.first("size").alias("size"), F.first("profile").alias("profile"), F.count("*").alias("components")), "sums")
+    whole = sums.agg(F.sum(F.col("size") * F.col("components"))).first()[0]
+    if not whole or not shares:
         return related.select("case_id", "component", F.lit(None).cast("string").alias("split")).limit(0)
-    names = sorted(shares)
-    plan = plan_splits(bundles, shares)
-    rows = [(p["size_class"], p["profile"], *(p["n_" + s] for s in names)) for p in plan]
-    plan_df = spark.createDataFrame(rows, "size_class long, profile string, " + ", ".join(f"n{i} long" for i in range(len(names))))
-    keyed = parts.join(F.broadcast(named), ["size_class", "profile"], "left").withColumn("profile", F.when(F.col("named"), F.col("profile"))).drop("named")
-    keyed = keyed.withColumn("u", unit("component", seed=seed))
-    ranked = group_rank(keyed.withColumn("pk", F.coalesce("profile", F.lit("\u0000"))), ["size_class", "pk"], "u", ["component"])
-    plan_df = plan_df.withColumn("pk", F.coalesce("profile", F.lit("\u0000"))).drop("profile")
-    ranked = ranked.join(F.broadcast(plan_df), ["size_class", "pk"])  # a few hundred bundles
-    split, upto = F.lit(None).cast("string"), F.lit(0)
-    cases = []
-    for i, s in enumerate(names):
+    each = sums.select("components", F.inline("profile")).groupBy("label").agg(F.sum(F.col("n") * F.col("components")).alias("n"))
+    plan = SplitPlan(shares, whole, {r["label"]: r["n"] for r in each.collect()})
+    kind = "bundle long, " + ", ".join(f"n{i} long" for i in range(len(plan.names)))
+    ordered = sums.orderBy(F.desc("size"), "profile", "bundle").toLocalIterator(prefetchPartitions=True)
+    rows = ({"bundle": r["bundle"], "size": r["size"], "components": r["components"], "profile": {x["label"]: x["n"] for x in r["profile"]}} for r in ordered)
+    done, waiting = [], []
+    for block in plan_blocks(rows):
+        waiting += [(b["bundle"], *n) for b, n in zip(block, plan.block(block), strict=True)]
+        if len(waiting) >= BLOCK:
+            done.append(materialize(spark.createDataFrame(waiting, kind), "plan"))
+            waiting = []
+    plan_df = spark.createDataFrame(waiting, kind)
+    for other in done:
+        plan_df = plan_df.unionByName(other)
+    ranked = group_rank(parts.select("component", "bundle", unit("component", seed=seed).alias("u")), ["bundle"], "u", ["component"])
+    ranked = ranked.join(F.broadcast(plan_df) if not done or is_small(plan_df, MOST_BROADCAST) else plan_df, "bundle")
+    split, upto, cases = F.lit(None).cast("string"), F.lit(0), []
+    for i, s in enumerate(plan.names):
         upto = upto + F.col(f"n{i}")
         cases.append((F.col("rank") < upto, F.lit(s)))
     for test, s in reversed(cases):

@@ -110,6 +110,31 @@ def test_rounding_keeps_margins():
     assert 0.22 < mean < 0.38
 
 
+def test_quotas_keep_floors_and_show_what_is_missing():
+    for seed in range(150):
+        rnd = random.Random(seed)
+        cells = [{"label": f"l{i}", "fold": j, "target_share": rnd.random(), "target_rows": rnd.randrange(12), "min_rows": rnd.randrange(6), "available": rnd.choice([0, 1, 3, 8, 20, 50])} for i in range(rnd.randrange(1, 7)) for j in range(rnd.randrange(1, 5))]
+        for c, q in zip(cells, sampling.plan_quotas(cells, seed), strict=True):
+            floor = max(c["target_rows"], c["min_rows"])
+            assert q["wanted"] == floor and q["shortfall"] == max(0, floor - c["available"])
+            assert min(floor, c["available"]) <= q["quota"] <= c["available"]
+
+
+def test_spare_rows_make_up_within_margins():
+    cell = lambda label, fold, there: {"label": label, "fold": fold, "target_share": 0.25, "target_rows": 10, "min_rows": 0, "available": there}
+    quota = {(q["label"], q["fold"]): q["quota"] for q in sampling.plan_quotas([cell("a", 0, 4), cell("a", 1, 30), cell("b", 0, 30), cell("b", 1, 30)])}
+    assert quota["a", 0] == 4 and quota["a", 1] == 10 and sum(quota.values()) == 34  # fold 1 and label b have their margins
+    quota = sampling.plan_quotas([{**cell("a", 0, 4), "target_share": 0.5}, {**cell("a", 1, 3), "target_share": 0.5}])
+    assert [q["shortfall"] for q in quota] == [6, 7] and [q["quota"] for q in quota] == [4, 3]
+
+
+def test_many_cells():
+    rnd = random.Random(1)
+    cells = [{"label": f"l{i}", "fold": j, "target_share": rnd.random(), "target_rows": rnd.randrange(90), "min_rows": 5, "available": rnd.choice([0, 40, 200])} for i in range(12_000) for j in range(5)]
+    got = sampling.plan_quotas(cells)
+    assert len(got) == 60_000 and all(q["quota"] >= min(q["wanted"], q["available"]) for q in got)
+
+
 def test_group_rank(spark):
     df = spark.range(2000).select("id", (F.col("id") % 3 == 0).cast("int").alias("g"), unit("id").alias("u"))
     got = group_rank(df, ["g"], "u", ["id"], bins=16).collect()
@@ -157,4 +182,30 @@ def test_split_assignment(spark):
     assert len(got) == len(rel) and len({(x["component"], x["split"]) for x in got}) == 900
     n = {s: sum(x["split"] == s for x in got) / len(got) for s in ("train", "validation", "test")}
     assert abs(n["train"] - 0.7) < 0.03 and abs(n["validation"] - 0.1) < 0.03 and abs(n["test"] - 0.2) < 0.03
+    for name in ("L0", "L1", "L2"):
+        own = [x["split"] for x in got if dict(lab)[x["case_id"]] == name]
+        assert abs(own.count("train") / len(own) - 0.7) < 0.06
     assert splits.assign_splits(r, l, t.limit(0)).count() == 0 and splits.assign_splits(r.limit(0), l, t).count() == 0
+
+
+def test_split_plan_keeps_every_profile():
+    """More bundles than fit in a block, none larger than the others: rare labels are spread as well."""
+    rnd = random.Random(4)
+    bundles = [{"size": s, "components": rnd.randrange(1, 9), "profile": {f"L{i}": s - s // 3, **({f"M{i % 7}": s // 3} if s > 2 else {})}} for i in range(400) for s in (9, 4, 1)]
+    bundles.sort(key=lambda b: -b["size"])
+    labels: dict = {}
+    for b in bundles:
+        for p, n in b["profile"].items():
+            labels[p] = labels.get(p, 0) + n * b["components"]
+    whole = sum(b["size"] * b["components"] for b in bundles)
+    plan, given = splits.SplitPlan({"train": 0.8, "test": 0.2}, whole, labels), []
+    for block in splits.plan_blocks(bundles, most=100):
+        assert len(block) <= 100
+        got = plan.block(block)
+        assert all(sum(n) == b["components"] for n, b in zip(got, block, strict=True))
+        given += [(b, dict(zip(plan.names, n, strict=True))) for b, n in zip(block, got, strict=True)]
+    assert len(given) == len(bundles) and plan.left == 0
+    assert abs(sum(b["size"] * n["test"] for b, n in given) / whole - 0.2) < 0.01
+    for i in range(7):
+        own = [(b["profile"].get(f"M{i}", 0), b["components"], n["test"]) for b, n in given]
+        assert abs(sum(a * t for a, _, t in own) / sum(a * c for a, c, _ in own) - 0.2) < 0.1
