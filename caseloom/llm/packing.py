@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom.llm.ranks import group_rank, unit
+from caseloom.session import materialize
 
 SLOTS = "size long, first long, upto long, each long, container long"
 
@@ -54,23 +55,29 @@ def pack_documents(sizes: DataFrame, capacity: int, seed: int = 3) -> DataFrame:
     """(doc_id, piece, pieces, tokens, container) for ``sizes`` with (doc_id, tokens).
 
     Only a document larger than ``capacity`` is cut: in pieces of the whole capacity, each a container
-    of its own with a negative number, and a rest that is packed as other documents are. Documents
-    without tokens take part in no container and come out with piece null. Rows with a null doc_id are
-    ignored; a repeated doc_id counts once, with its largest size. No window or task holds a size.
+    of its own, numbered -1, -2, ... by rank of the document among those of as many such pieces, and a
+    rest that is packed as other documents are. Documents without tokens take part in no container and
+    come out with piece null. Rows with a null doc_id are ignored; a repeated doc_id counts once, with
+    its largest size. The sizes are computed once and written. No window or task holds a size.
     """
     spark = sizes.sparkSession
     cap = F.lit(capacity).cast("long")
     docs = sizes.where("doc_id is not null").select("doc_id", F.coalesce("tokens", F.lit(0)).cast("long").alias("tokens"))
     docs = docs.groupBy("doc_id").agg(F.max("tokens").alias("tokens"))
     full, rest = F.floor(F.col("tokens") / cap).cast("long"), F.col("tokens") % cap
-    docs = docs.withColumn("full", full).withColumn("rest", rest).withColumn("pieces", full + (rest > 0).cast("long"))
+    docs = materialize(docs.withColumn("full", full).withColumn("rest", rest).withColumn("pieces", full + (rest > 0).cast("long")), "sizes")
     histogram = {r[0]: r[1] for r in docs.where("rest > 0").groupBy("rest").count().collect()}  # fewer rows than the capacity
     plan = spark.createDataFrame(plan_containers(histogram, capacity), SLOTS)
     ranked = group_rank(docs.where("rest > 0").withColumn("u", unit("doc_id", seed=seed)), ["rest"], "u", ["doc_id"])
     slot = F.broadcast(plan.withColumnRenamed("size", "rest"))  # bounded by the capacity
     placed = ranked.join(slot, "rest").where("rank >= first and rank < upto")
     last = placed.select("doc_id", F.col("pieces").alias("piece"), "pieces", F.col("rest").alias("tokens"), (F.col("container") + F.expr("(rank - first) div each")).alias("container"))
-    whole = docs.where("full > 0").select("doc_id", F.explode(F.expr("sequence(1L, full)")).alias("piece"), "pieces", cap.alias("tokens"))
-    whole = whole.withColumn("container", -F.abs(F.xxhash64("doc_id", "piece")) - 1)
+    # A document of f whole pieces takes the f numbers after those of smaller f and of lower rank within f.
+    long = docs.where("full > 0")
+    ahead = Window.orderBy("full").rowsBetween(Window.unboundedPreceding, -1)
+    starts = long.groupBy("full").agg(F.count("*").alias("n")).select("full", F.coalesce(F.sum(F.col("full") * F.col("n")).over(ahead), F.lit(0)).alias("start"))  # n documents of m tokens have at most sqrt(2 m) different numbers of pieces
+    numbered = group_rank(long.withColumn("u", unit("doc_id", seed=seed)), ["full"], "u", ["doc_id"]).join(starts, "full")
+    whole = numbered.select("doc_id", F.explode(F.expr("sequence(1L, full)")).alias("piece"), "pieces", cap.alias("tokens"), (-(F.col("start") + F.col("rank") * F.col("full"))).alias("base"))
+    whole = whole.withColumn("container", F.col("base") - F.col("piece")).drop("base")
     none = docs.where("tokens = 0").select("doc_id", F.lit(None).cast("long").alias("piece"), F.lit(0).cast("long").alias("pieces"), F.lit(0).cast("long").alias("tokens"), F.lit(None).cast("long").alias("container"))
     return last.unionByName(whole).unionByName(none)
