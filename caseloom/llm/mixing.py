@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.ranks import group_rank, unit
+from caseloom.session import is_small, materialize
 
-#: Most sources of a target table.
-MOST_SOURCES = 10_000
+#: Rows of a plan that are broadcast; beyond, they are joined by a shuffle.
+MOST_BROADCAST = 100_000
 
 PLAN = (
     "source string, target_share double, max_repeats int, available_tokens long, target_tokens double, planned_tokens double, "
@@ -49,11 +50,10 @@ def plan_mixture(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     want = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("share"), F.max("max_repeats").alias("most"))
-    rows = want.limit(MOST_SOURCES + 1).collect()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
+    rows = want.withColumn("key", clean_source(F.col("source"))).collect()  # target sources
     sums = docs.groupBy("source_key", "copies").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n"))
-    named = F.broadcast(targets.select(clean_source(F.col("source")).alias("source_key"), F.lit(True).alias("named")).distinct())
+    named = targets.select(clean_source(F.col("source")).alias("source_key"), F.lit(True).alias("named")).distinct()
+    named = F.broadcast(named) if len(rows) <= MOST_BROADCAST else named
     sums = sums.join(named, "source_key", "left").withColumn("source_key", F.when(F.col("named"), F.col("source_key"))).withColumn("copies", F.when(F.col("named"), F.col("copies")))
     sums = sums.groupBy("source_key", "copies").agg(F.sum("tokens").alias("tokens"), F.sum("n").alias("n"))
     by: dict = {}
@@ -62,7 +62,7 @@ def plan_mixture(docs: DataFrame, targets: DataFrame) -> DataFrame:
     total = sum(t for parts in by.values() for _, t, _ in parts)
     plan = []
     for r in sorted(rows, key=lambda r: r["source"]):
-        parts = by.get(r["source"].strip().lower(), [])
+        parts = by.get(r["key"], []) if r["key"] is not None else []
         have, share, most = sum(t for _, t, _ in parts), r["share"] or 0.0, r["most"] or 0
         goal = share * total
         filled = not most * have < goal
@@ -79,7 +79,9 @@ def mix_documents(docs: DataFrame, plan: DataFrame, seed: int = 5) -> DataFrame:
     the documents of a source are ordered by u / (1 - u) divided by p / (1 - p), u uniform by hash of
     the id, and as many of them as their p sum up to, rounded, get one copy more.
     """
-    keyed = F.broadcast(plan.withColumn("source_key", clean_source(F.col("source"))).select("source_key", "source", "scale", "max_repeats"))  # at most MOST_SOURCES rows
+    few = is_small(plan, MOST_BROADCAST)
+    keyed = plan.withColumn("source_key", clean_source(F.col("source"))).select("source_key", "source", "scale", "max_repeats")
+    keyed = F.broadcast(keyed) if few else keyed
     rows = docs.select("doc_id", "source_key", "tokens", "copies").join(keyed, "source_key")
     wish = F.least(F.col("max_repeats").cast("double"), F.col("scale") / F.col("copies"))
     rows = rows.withColumn("wish", wish).withColumn("whole", F.floor(F.col("wish") + 1e-9).cast("long"))
@@ -90,7 +92,7 @@ def mix_documents(docs: DataFrame, plan: DataFrame, seed: int = 5) -> DataFrame:
     loose = rows.where("part > 0").withColumn("odds", odds).withColumn("order", F.col("odds") / (1 + F.col("odds")))
     draws = rows.groupBy("source_key").agg(F.round(F.sum("part")).cast("long").alias("draws"))
     ranked = group_rank(loose.select("doc_id", "source_key", "order"), ["source_key"], "order", ["doc_id"])
-    picked = ranked.join(F.broadcast(draws), "source_key").where("rank < draws").select("doc_id", F.lit(1).alias("extra"))  # draws: a row a source
+    picked = ranked.join(F.broadcast(draws) if few else draws, "source_key").where("rank < draws").select("doc_id", F.lit(1).alias("extra"))  # draws: a row a source
     out = rows.join(picked, "doc_id", "left").withColumn("repeats", F.col("whole") + F.coalesce("extra", F.lit(0)))
     return out.where("repeats > 0").select("doc_id", "source", "tokens", "repeats")
 
@@ -108,10 +110,11 @@ def mixture_report(plan: DataFrame, mixture: DataFrame) -> DataFrame:
 def sized_documents(documents: DataFrame, size: Column) -> DataFrame:
     """(doc_id, source_key, tokens, copies) of ``documents``; copies counts equal texts of a source.
 
-    A repeated row counts once. Null ids are ignored; null texts have 0 tokens.
+    A repeated row counts once. Null ids are ignored; null texts have 0 tokens. The sizes are computed
+    once and written.
     """
     rows = documents.where("doc_id is not null").select("doc_id", clean_source(F.col("source")).alias("source_key"), size.alias("tokens"), F.xxhash64("text").alias("h"))
-    rows = rows.dropDuplicates(["doc_id"])
+    rows = materialize(rows.dropDuplicates(["doc_id"]), "sized")
     copies = rows.groupBy("source_key", "h").agg(F.count("*").alias("copies")).where("copies > 1")
     copies = copies.select(F.col("source_key").alias("s"), F.col("h").alias("t"), "copies")
     back = rows.join(copies, F.col("source_key").eqNullSafe(F.col("s")) & (F.col("h") == F.col("t")), "left")
