@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.text import sentence_spans, shares_ngram, slice_text, strip, word_count
+from caseloom.functions.text import occurrences, sentence_spans, shares_ngram, slice_text, strip, word_count
 from caseloom.session import ship
 
 ship(__name__)
@@ -49,43 +49,35 @@ def clean_prefix(rows: DataFrame, mentions: DataFrame, key: str, least_words: in
     return df.withColumn("reason", F.when(leaks, "TEXT_LABEL_LEAKAGE").when(short, "TEXT_TOO_SHORT").otherwise("PASS")).drop("__hits")
 
 
-def _align(text: str | None, quote: str | None) -> tuple[int, int] | None:
-    """Offsets of ``quote`` in ``text`` if it stands there once, white space and spelled-out line breaks aside."""
-    import re
+#: Fixed value: white space of any kind, and line breaks that are spelled out as a backslash with r or n.
+BLANKS = r"(?U)(?:[\s\x{1c}-\x{1f}]|\\r\\n|\\[nr])+"
 
-    if not text or not quote:
-        return None
-    space = re.compile(r"(?:\s|\\r\\n|\\[nr])+")
 
-    def squeeze(value: str) -> tuple[str, list[int]]:
-        out, at, last = [], [], 0
-        for m in space.finditer(value):
-            out.append(value[last : m.start()] + " ")
-            at += [*range(last, m.start()), m.start()]
-            last = m.end()
-        out.append(value[last:])
-        at += [*range(last, len(value) + 1)]
-        return "".join(out), at
-
-    source, at = squeeze(text)
-    needle = squeeze(quote)[0].strip()
-    if not needle or source.count(needle) != 1:
-        return None
-    i = source.index(needle)
-    start, end = at[i], at[i + len(needle) - 1] + 1
-    return (start, end) if text.count(text[start:end]) == 1 else None
+def squeeze(x: Column) -> Column:
+    """``x`` with every run of white space and spelled-out line breaks as one blank."""
+    return F.regexp_replace(x, BLANKS, " ")
 
 
 def align_quotes(rows: DataFrame, text: str, quote: str) -> DataFrame:
-    """``rows`` with aligned_start and aligned_end of ``quote`` in ``text``, null if it is not there just once."""
-
-    @F.pandas_udf("start int, end int")
-    def align(t: pd.Series, q: pd.Series) -> pd.DataFrame:
-        spans = [_align(a, b) or (None, None) for a, b in zip(t, q, strict=True)]
-        return pd.DataFrame(spans, columns=["start", "end"]).astype("Int32")
+    """``rows`` with aligned_start and aligned_end of ``quote`` in ``text``, null if it is not there just once.
 
-    out = rows.withColumn("__a", align(F.col(text), F.col(quote)))
-    return out.withColumn("aligned_start", F.col("__a.start")).withColumn("aligned_end", F.col("__a.end")).drop("__a")
+    Runs of white space and spelled-out line breaks are alike. An offset in the squeezed text plus what
+    the runs before it lost is the offset in the text. What stands at the offsets must be unique as well.
+    """
+    out = rows.withColumn("__s", squeeze(F.col(text))).withColumn("__q", F.trim(squeeze(F.col(quote))))
+    lost = F.transform(F.regexp_extract_all(F.col(text), F.lit(BLANKS), F.lit(0)), lambda r: F.length(r) - 1)
+
+    def raw(at: Column) -> Column:
+        """Offset in the text of the character at offset ``at`` of the squeezed text."""
+        before = F.substring("__s", F.lit(1), at)
+        blanks = F.length(before) - F.length(F.replace(before, F.lit(" "), F.lit("")))
+        return at + F.aggregate(F.slice("__lost", F.lit(1), blanks), F.lit(0), lambda a, x: a + x)
+
+    out = out.withColumn("__lost", lost).withColumn("__i", F.when(occurrences(F.col("__s"), F.col("__q")) == 1, F.instr("__s", F.col("__q")) - 1))
+    out = out.withColumn("__a", raw(F.col("__i"))).withColumn("__b", raw(F.col("__i") + F.length("__q") - 1) + 1)
+    once = occurrences(F.col(text), slice_text(F.col(text), F.col("__a"), F.col("__b"))) == 1
+    out = out.withColumn("aligned_start", F.when(once, F.col("__a")).cast("int")).withColumn("aligned_end", F.when(once, F.col("__b")).cast("int"))
+    return out.drop("__s", "__q", "__lost", "__i", "__a", "__b")
 
 
 def decode_png(data: bytes) -> np.ndarray:

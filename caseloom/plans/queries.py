@@ -121,7 +121,15 @@ def alias_presence(spark: SparkSession, d: str) -> DataFrame:
     return _mentions(spark, d).select("case_id", "concept_id").distinct()
 
 
-@query()
+_OFFSETS = """aliases AS (SELECT DISTINCT lower(disease) AS alias, upper(trim(diagnosis_label)) AS concept_id FROM manifest WHERE trim(disease) <> '' AND diagnosis_label IS NOT NULL
+), texts AS (SELECT DISTINCT case_id, raw_case_text AS t FROM cases
+), cut AS (SELECT case_id, concept_id, alias, t, string_split(lower(t), alias) AS p FROM texts JOIN aliases ON contains(lower(t), alias)
+), pieces AS (SELECT *, unnest(range(1, len(p))) AS i FROM cut
+), hits AS (SELECT case_id, concept_id, alias, t, list_sum(list_transform(p[1:i], lambda x: length(x)))::BIGINT + (i - 1) * length(alias) AS a FROM pieces
+  WHERE NOT regexp_matches(right(p[i], 1), '[\\p{L}\\p{N}]') AND NOT regexp_matches(left(p[i + 1], 1), '[\\p{L}\\p{N}]'))"""
+
+
+@query(f'WITH {_OFFSETS} SELECT case_id, concept_id, substr(t, a + 1, length(alias)) AS alias, a::INT AS "start", (a + length(alias))::INT AS "end" FROM hits')
 def matcher_offsets(spark: SparkSession, d: str) -> DataFrame:
     return _mentions(spark, d)
 
@@ -182,7 +190,15 @@ def unique_quotes(spark: SparkSession, d: str) -> DataFrame:
     return q.select("case_id", "q", text.unique_quote_start(F.col("t"), F.col("q")).cast("long").alias("start")).distinct()
 
 
-@query()
+_RUN = r"([\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\\r\\n|\\[nr])+"
+
+
+@query(f"""WITH q AS (SELECT DISTINCT m.request_sha256, m.evidence_quote AS q, c.raw_case_text AS t FROM medgemma_labels m JOIN (SELECT DISTINCT case_id, raw_case_text FROM cases) c USING (case_id) WHERE m.evidence_quote <> ''
+), z AS (SELECT request_sha256, t, regexp_replace(t, '{_RUN}', ' ', 'g') AS s, trim(regexp_replace(q, '{_RUN}', ' ', 'g')) AS n, list_transform(regexp_extract_all(t, '{_RUN}'), lambda x: length(x) - 1) AS lost FROM q
+), i AS (SELECT *, CASE WHEN n <> '' AND (length(s) - length(replace(s, n, ''))) // nullif(length(n), 0) = 1 THEN instr(s, n) - 1 END AS i FROM z
+), o AS (SELECT request_sha256, t, i + coalesce(list_sum(lost[1:i - length(replace(left(s, i), ' ', ''))]), 0) AS a, i + length(n) + coalesce(list_sum(lost[1:i + length(n) - 1 - length(replace(left(s, i + length(n) - 1), ' ', ''))]), 0) AS b FROM i
+), u AS (SELECT *, a IS NOT NULL AND (length(t) - length(replace(t, substr(t, a::BIGINT + 1, (b - a)::BIGINT), ''))) // nullif(b - a, 0) = 1 AS once FROM o)
+SELECT request_sha256, CASE WHEN once THEN a END::INT AS aligned_start, CASE WHEN once THEN b END::INT AS aligned_end FROM u""")
 def aligned_quotes(spark: SparkSession, d: str) -> DataFrame:
     rows = _distinct(spark, d, "medgemma_labels", "request_sha256", "case_id", "evidence_quote").where("evidence_quote <> ''").join(_distinct(spark, d, "cases", "case_id", "raw_case_text"), "case_id")
     return quality.align_quotes(rows, "raw_case_text", "evidence_quote").select("request_sha256", "aligned_start", "aligned_end")
