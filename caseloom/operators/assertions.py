@@ -57,16 +57,22 @@ def status_rank(status: Column) -> Column:
 def diagnose(texts: DataFrame, mentions: DataFrame, key: str, text: str) -> DataFrame:
     """The best assertion per text and concept of ``mentions`` (key, concept_id, start, end).
 
-    (key, concept_id, status, reason, evidence, evidence_start, evidence_end). Sentences are cut once a
-    text; a mention in no sentence is no evidence. Confirmed and ruled out for one concept makes it
+    (key, concept_id, status, reason, evidence, evidence_start, evidence_end). A text meets its mentions once;
+    what goes on are their sentences, not the text. A mention in no sentence is no evidence. Confirmed and ruled out for one concept makes it
     unclear, with the first confirmed sentence as evidence. Ties go to the earliest mention.
     """
-    spans = texts.select(key, F.col(text).alias("__text"), sentence_spans(F.col(text)).alias("__spans"))
-    found = mentions.select(key, "concept_id", "start", "end").join(spans, key)
-    found = found.withColumn("s", enclosing_span(F.col("__spans"), F.col("start"), F.col("end"))).where("s is not null")
-    found = found.withColumn("status", mention_status(slice_text(F.col("__text"), F.col("s.start"), F.col("start")), slice_text(F.col("__text"), F.col("end"), F.col("s.end"))))
+    held = mentions.groupBy(key).agg(F.collect_set(F.struct("concept_id", "start", "end")).alias("__m"))  # mentions of one text
+    spans = texts.select(key, F.col(text).alias("__text"), sentence_spans(F.col(text)).alias("__spans")).join(held, key)
+    cut = lambda a, b: slice_text(F.col("__text"), a, b)
+
+    def around(m: Column) -> Column:
+        s = enclosing_span(F.col("__spans"), m["start"], m["end"])
+        sides = (cut(s["start"], m["start"]).alias("left"), cut(m["end"], s["end"]).alias("right"), cut(s["start"], s["end"]).alias("evidence"))
+        return F.struct(m["concept_id"].alias("concept_id"), m["start"].alias("start"), m["end"].alias("end"), s["start"].alias("a"), s["end"].alias("b"), *sides)
+
+    found = spans.select(key, F.inline(F.transform("__m", around))).where("a is not null").withColumn("status", mention_status(F.col("left"), F.col("right")))
     rank = status_rank(F.col("status"))
-    best = F.min(F.struct(rank.alias("rank"), "start", "end", "status", F.col("s.start").alias("a"), F.col("s.end").alias("b"), slice_text(F.col("__text"), F.col("s.start"), F.col("s.end")).alias("evidence"))).alias("best")
+    best = F.min(F.struct(rank.alias("rank"), "start", "end", "status", "a", "b", "evidence")).alias("best")
     out = found.groupBy(key, "concept_id").agg(best, F.bool_or(F.col("status") == "ruled_out").alias("no"))
     torn = (F.col("best.status") == "confirmed") & F.col("no")
     reason = F.when(torn, "CONTRADICTORY_ASSERTIONS").when(F.col("best.status") == "confirmed", "EXPLICIT_ASSERTION").otherwise("NOT_CONFIRMED")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.operators.hamming import hamming_pairs
 from caseloom.session import discard, materialize
 
 
@@ -49,22 +50,20 @@ def components(edges: DataFrame) -> DataFrame:
     return live.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(live.select(F.col("u").alias("node"), F.col("u").alias("root")).distinct())
 
 
-def band_pairs(hashes: DataFrame, key: str, bits: Column, most: int, width: int = 64) -> DataFrame:
-    """(a, b, distance): pairs of rows whose ``width``-bit numbers differ in at most ``most`` bits.
+def near_hashes(hashes: DataFrame, key: str, bits: Column, most: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members): pairs (a, b, distance), a < b, of 64-bit values that differ in 1 to ``most`` bits, each value
+    known by its smallest key; members (key, representative) of every row with a value.
 
-    ``most`` + 1 bands guarantee that such a pair shares one; distinct values are compared, not rows,
-    so repeated values cost nothing.
+    Values are compared, not rows, so a value that a third of the rows share costs as much as any other, and
+    rows of equal values are never paired: the membership tells them.
     """
-    rows = hashes.select(F.col(key).alias("k"), bits.cast("long").alias("v")).where("v is not null and k is not null").distinct()
-    values = rows.select("v").distinct()
-    cut = [round(i * width / (most + 1)) for i in range(most + 2)]
-    bands = F.array(*(F.shiftrightunsigned("v", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(cut, cut[1:], strict=False)))
-    keyed = values.select("v", F.posexplode(bands).alias("band", "part"))
-    near = keyed.alias("x").join(keyed.alias("y"), ["band", "part"]).where("x.v < y.v").select(F.col("x.v").alias("p"), F.col("y.v").alias("q"))
-    near = near.withColumn("distance", F.bit_count(F.col("p").bitwiseXOR(F.col("q")))).where(F.col("distance") <= most).distinct()
-    near = near.unionByName(values.select(F.col("v").alias("p"), F.col("v").alias("q"), F.lit(0).alias("distance")))
-    out = near.join(rows.select(F.col("v").alias("p"), F.col("k").alias("a")), "p").join(rows.select(F.col("v").alias("q"), F.col("k").alias("b")), "q")
-    return out.where("a <> b and (p <> q or a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "distance").distinct()
+    rows = hashes.select(F.col(key), bits.cast("long").alias("v")).where(F.col("v").isNotNull() & F.col(key).isNotNull()).distinct()
+    first = materialize(rows.groupBy("v").agg(F.min(key).alias("r")), "values")
+    near = hamming_pairs(first, "v", most)
+    near = near.join(first.select(F.col("v").alias("a"), F.col("r").alias("ra")), "a").join(first.select(F.col("v").alias("b"), F.col("r").alias("rb")), "b")
+    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))).alias("distance")
+    pairs = near.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"), distance)
+    return pairs, rows.join(first, "v").select(key, F.col("r").alias("representative"))
 
 
 def group_report(members: DataFrame, labels: DataFrame, node: str, root: str, label: str) -> DataFrame:

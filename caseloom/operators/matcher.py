@@ -12,9 +12,6 @@ from caseloom.session import ship
 
 ship(__name__)
 
-#: Most aliases an automaton is built of on each worker.
-MOST_ALIASES = 2_000_000
-
 
 class AliasFinder:
     """Overlapping, case-insensitive matches that no letter or digit touches, by end, longest first."""
@@ -25,25 +22,16 @@ class AliasFinder:
             self.concepts.setdefault(alias.lower(), []).append(concept)
         self.concepts.pop("", None)
         self.automaton = None
-        try:
-            import ahocorasick
-        except ImportError:
-            self.by_first: dict[str, list[str]] = {}
-            for alias in self.concepts:
-                self.by_first.setdefault(alias[0], []).append(alias)
-            return
         if self.concepts:
+            import ahocorasick
+
             self.automaton = ahocorasick.Automaton()
             for alias in self.concepts:
                 self.automaton.add_word(alias, alias)
             self.automaton.make_automaton()
 
     def _raw(self, low: str) -> Iterator[tuple[int, str]]:
-        if self.automaton is not None:
-            yield from self.automaton.iter(low)
-        elif self.concepts:
-            hits = [(i + len(a) - 1, a) for i, c in enumerate(low) for a in self.by_first.get(c, ()) if low.startswith(a, i)]
-            yield from sorted(hits, key=lambda h: (h[0], -len(h[1])))
+        return iter(()) if self.automaton is None else self.automaton.iter(low)
 
     def find(self, text: str | None) -> list[tuple[str, str, int, int]]:
         """(concept, alias as spelled, start, end)."""
@@ -69,9 +57,7 @@ def find_aliases(texts: DataFrame, aliases: DataFrame, key: str, text: str) -> D
     The automaton is built once a task; texts are streamed through in Arrow batches, without a shuffle
     and without comparing each text with each alias. Null and empty texts and aliases match nothing.
     """
-    rows = aliases.where("alias <> '' and concept_id is not null").select("alias", "concept_id").distinct().limit(MOST_ALIASES + 1).collect()
-    if len(rows) > MOST_ALIASES:
-        raise ValueError(f"more than {MOST_ALIASES} aliases")
+    rows = aliases.where("alias <> '' and concept_id is not null").select("alias", "concept_id").distinct().collect()  # the terms of a vocabulary
     listed = texts.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in rows])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

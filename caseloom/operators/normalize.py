@@ -59,9 +59,13 @@ def require_empty(df: DataFrame, what: str) -> None:
         raise ValueError(f"{what}: {rows}")
 
 
-def relation_sets(df: DataFrame, key: str, member: str) -> DataFrame:
-    """(key, members, n): the sorted distinct members of each key."""
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(member)).alias("members")).withColumn("n", F.size("members"))
+def relation_pairs(df: DataFrame, key: str, member: str) -> DataFrame:
+    """(key, member, n): the distinct members of each key, a row each, and how many the key has.
+
+    A key's members are never gathered in one row; the counts are aggregates joined back.
+    """
+    pairs = df.select(key, member).where(F.col(key).isNotNull() & F.col(member).isNotNull()).distinct()
+    return pairs.join(pairs.groupBy(key).agg(F.count("*").alias("n")), key)
 
 
 def split_accepted(rows: DataFrame, known: DataFrame, pairs: DataFrame, key: str, pair: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions import stats, text
 from caseloom.operators import assertions, components, matcher, normalize, ontology, quality, records, splits
-from caseloom.session import shared_dir, table
+from caseloom.session import materialize, shared_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -56,10 +56,10 @@ def norm_cases(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT DISTINCT article_id, case_id, image_id, caption, width * height AS pixels FROM selected_images")
 def norm_nested_images(spark: SparkSession, d: str) -> DataFrame:
-    """Articles with nested cases with nested images, flattened in two steps."""
+    """Articles with nested cases with nested images, flattened in two steps; an article's cases are nested in several records."""
     i = table(spark, d, "selected_images").select("article_id", "case_id", "image_id", "caption", "width", "height").distinct()
     cases = i.groupBy("article_id", "case_id").agg(F.collect_list(F.struct("image_id", "caption", "width", "height")).alias("images"))
-    articles = cases.groupBy("article_id").agg(F.collect_list(F.struct("case_id", "images")).alias("cases"))
+    articles = cases.groupBy("article_id", F.pmod(F.xxhash64("case_id"), F.lit(4096))).agg(F.collect_list(F.struct("case_id", "images")).alias("cases"))
     flat = normalize.flatten_records(normalize.flatten_records(articles, "cases", ["article_id"]), "images", ["article_id", "case_id"])
     return flat.select("article_id", "case_id", "image_id", "caption", (F.col("width") * F.col("height")).alias("pixels"))
 
@@ -84,11 +84,10 @@ def reject_split(spark: SparkSession, d: str) -> DataFrame:
     return out.select("case_id", "image_id", F.coalesce("reject_reason", F.lit("ACCEPTED")).alias("outcome"))
 
 
-@query("""SELECT lower(trim(image_sha256)) AS sha, string_agg(DISTINCT case_id, ',' ORDER BY case_id) AS cases, count(DISTINCT case_id) AS n
-  FROM selected_images WHERE trim(image_sha256) <> '' GROUP BY 1""")
+@query("""WITH p AS (SELECT DISTINCT lower(trim(image_sha256)) AS sha, case_id FROM selected_images WHERE trim(image_sha256) <> '') SELECT sha, case_id, count(*) OVER (PARTITION BY sha) AS n FROM p""")
 def image_relations(spark: SparkSession, d: str) -> DataFrame:
     i = table(spark, d, "selected_images").where("trim(image_sha256) <> ''").select(F.lower(F.trim("image_sha256")).alias("sha"), "case_id")
-    return normalize.relation_sets(i, "sha", "case_id").select("sha", F.array_join("members", ",").alias("cases"), F.col("n").cast("long").alias("n"))
+    return normalize.relation_pairs(i, "sha", "case_id")
 
 
 @query("""SELECT image_id, 'images/' || substr(f, 1, 4) || '/' || substr(f, 1, 5) || '/' || f AS stored_path, regexp_extract(f, '\\.[a-z]+$') AS suffix
@@ -154,13 +153,6 @@ def scope_counts(spark: SparkSession, d: str) -> DataFrame:
     return every.select(records.ladder((k == 1, "SINGLE_TARGET"), (k > 1, "MULTI_TARGET"), otherwise="NO_CANDIDATE").alias("scope")).groupBy("scope").agg(F.count("*").alias("n"))
 
 
-@query()
-def diagnosed_concepts(spark: SparkSession, d: str) -> DataFrame:
-    """The best assertion per case and concept, with its sentence and offsets."""
-    texts = _distinct(spark, d, "cases", "case_id", "raw_case_text")
-    return assertions.diagnose(texts, _mentions(spark, d), "case_id", "raw_case_text")
-
-
 # Evidence and text
 
 
@@ -235,6 +227,29 @@ def assertion_status(spark: SparkSession, d: str) -> DataFrame:
     return j.select("case_id", "disease", assertions.mention_status(before, after).alias("status")).distinct()
 
 
+_STATUS = f"""CASE WHEN regexp_matches(b, '{assertions.FAMILY}') OR regexp_matches(b, '{assertions.HISTORY}') THEN 'historical'
+  WHEN regexp_matches(b, '{assertions.NEGATED_BEFORE}') OR regexp_matches(a, '{assertions.NEGATED_AFTER}') OR regexp_matches(b, '{assertions.NOT_DIAGNOSED}') THEN 'ruled_out'
+  WHEN regexp_matches(b || ' <disease> ' || a, '{assertions.DIFFERENTIAL}') THEN 'differential'
+  WHEN regexp_matches(b || ' <disease> ' || a, '{assertions.PROBABLE}') THEN 'probable'
+  WHEN regexp_matches(b || ' <disease> ' || a, '{assertions.SUSPECTED}') THEN 'suspected'
+  WHEN regexp_matches(b, '{assertions.CONFIRMED_BEFORE}') OR regexp_matches(a, '{assertions.CONFIRMED_AFTER}') THEN 'confirmed' ELSE 'unclear' END"""
+
+
+@query(f"""WITH {_OFFSETS}, m AS (SELECT DISTINCT case_id, concept_id, t, a, a + length(alias) AS b FROM hits
+), sp AS (SELECT *, a - length(regexp_extract(substr(t, 1, a), '[^.!?\\n]*$')) AS s0, regexp_extract(substr(t, b + 1), '^[^.!?\\n]*(?:[.!?]+|$)') AS tail FROM m WHERE regexp_matches(substr(t, b + 1), '^[^.!?\\n]*(?:[.!?]+|$)')
+), sides AS (SELECT case_id, concept_id, a, b AS z, s0, b + length(tail) AS e0, substr(t, s0 + 1, b + length(tail) - s0) AS evidence, lower(regexp_replace(substr(t, s0 + 1, a - s0), '[\\x{{a0}}\\x{{2000}}-\\x{{200a}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]', ' ', 'g')) AS b0,
+  lower(regexp_replace(tail, '[\\x{{a0}}\\x{{2000}}-\\x{{200a}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]', ' ', 'g')) AS a0 FROM sp
+), clauses AS (SELECT case_id, concept_id, a AS pos, z, s0, e0, evidence, right(regexp_extract(b0, '^(?s:.*(?:{assertions.CLAUSE}))?((?s:.*))$', 1), 100) AS b, left(regexp_extract(a0, '^(?s:(.*?))(?:(?:{assertions.CLAUSE})|$)', 1), 100) AS a FROM sides
+), st AS (SELECT *, {_STATUS} AS status FROM clauses
+), best AS (SELECT case_id, concept_id, arg_min({{'status': status, 'e': evidence, 's0': s0, 'e0': e0}}, (list_position([{STATUS_LIST}], status), pos, z)) AS x, bool_or(status = 'ruled_out') AS no FROM st GROUP BY 1, 2)
+SELECT case_id, concept_id, CASE WHEN x.status = 'confirmed' AND no THEN 'unclear' ELSE x.status END AS status, CASE WHEN x.status = 'confirmed' AND no THEN 'CONTRADICTORY_ASSERTIONS' WHEN x.status = 'confirmed' THEN 'EXPLICIT_ASSERTION' ELSE 'NOT_CONFIRMED' END AS reason,
+  x.e AS evidence, x.s0::INT AS evidence_start, x.e0::INT AS evidence_end FROM best""")
+def diagnosed_concepts(spark: SparkSession, d: str) -> DataFrame:
+    """The best assertion per case and concept, with its sentence and offsets."""
+    texts = _distinct(spark, d, "cases", "case_id", "raw_case_text")
+    return assertions.diagnose(texts, _mentions(spark, d), "case_id", "raw_case_text")
+
+
 @query(f"""WITH s AS (SELECT case_id, diagnosis_status AS st FROM reviewer_a WHERE diagnosis_status IS NOT NULL UNION SELECT case_id, diagnosis_status FROM reviewer_b WHERE diagnosis_status IS NOT NULL)
   SELECT case_id, arg_min(st, coalesce(list_position([{STATUS_LIST}], st), 99)) AS best, bool_or(st = 'confirmed') AND bool_or(st = 'ruled_out') AS contradictory FROM s GROUP BY case_id""")
 def status_argmin(spark: SparkSession, d: str) -> DataFrame:
@@ -253,10 +268,11 @@ def prefix_words(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def clinical_prefix(spark: SparkSession, d: str) -> DataFrame:
     """The source prefix that does not tell the diagnosis, cut anew from mentions, cues and evidence."""
-    best = assertions.diagnose(_distinct(spark, d, "cases", "case_id", "raw_case_text"), _mentions(spark, d), "case_id", "raw_case_text")
+    found = materialize(_mentions(spark, d), "mentions")
+    best = assertions.diagnose(_distinct(spark, d, "cases", "case_id", "raw_case_text"), found, "case_id", "raw_case_text")
     one = records.first_by(best.select("case_id", "evidence", "evidence_start", assertions.status_rank(F.col("status")).alias("k"), "concept_id"), ["case_id"], [F.col("k"), F.col("concept_id")])
     rows = _distinct(spark, d, "cases", "case_id", "raw_case_text").join(one.drop("k", "concept_id"), "case_id").withColumn("title", F.lit(""))
-    out = quality.clean_prefix(rows, _mentions(spark, d), "case_id")
+    out = quality.clean_prefix(rows, found, "case_id")
     return out.select("case_id", F.sha2("clinical_text", 256).alias("clinical_text_sha256"), "clinical_source_end", "reason")
 
 
@@ -495,13 +511,26 @@ def group_ids(spark: SparkSession, d: str) -> DataFrame:
     return components.group_id(_duplicates(spark, d), "root", "node")
 
 
-@query("""WITH h AS (SELECT DISTINCT case_id, ('0x' || ph)::UBIGINT AS v FROM (SELECT case_id, lpad(regexp_replace(lower(trim(perceptual_hash)), '^0x', ''), 16, '0') AS ph FROM selected_images WHERE perceptual_hash IS NOT NULL)
-  WHERE regexp_matches(ph, '^[0-9a-f]{16}$') AND regexp_matches(ph, '[1-9a-f]')) SELECT DISTINCT a.case_id AS a, b.case_id AS b, bit_count(xor(a.v, b.v))::INT AS distance FROM h a JOIN h b ON a.case_id < b.case_id AND bit_count(xor(a.v, b.v)) <= 4""")
-def near_hash_pairs(spark: SparkSession, d: str) -> DataFrame:
+_HASHES = """h AS (SELECT DISTINCT case_id, ('0x' || ph)::UBIGINT AS v FROM (SELECT case_id, lpad(regexp_replace(lower(trim(perceptual_hash)), '^0x', ''), 16, '0') AS ph FROM selected_images WHERE perceptual_hash IS NOT NULL)
+  WHERE regexp_matches(ph, '^[0-9a-f]{16}$') AND regexp_matches(ph, '[1-9a-f]')), f AS (SELECT v, min(case_id) AS r FROM h GROUP BY v)"""
+
+
+def _near_hashes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     h = F.lpad(F.regexp_replace(F.lower(F.trim("perceptual_hash")), "^0x", ""), 16, "0")
     rows = table(spark, d, "selected_images").select("case_id", F.when(h.rlike("^[0-9a-f]{16}$") & h.rlike("[1-9a-f]"), h).alias("h")).where("h is not null")
     bits = F.shiftleft(F.conv(F.substring("h", 1, 8), 16, 10).cast("long"), 32).bitwiseOR(F.conv(F.substring("h", 9, 8), 16, 10).cast("long"))
-    return components.band_pairs(rows, "case_id", bits, 4)
+    return components.near_hashes(rows, "case_id", bits, 4)
+
+
+@query(f"WITH {_HASHES} SELECT DISTINCT least(a.r, b.r) AS a, greatest(a.r, b.r) AS b, bit_count(xor(a.v, b.v))::INT AS distance FROM f a JOIN f b ON a.v < b.v AND bit_count(xor(a.v, b.v)) <= 4")
+def near_hash_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of distinct hashes within four bits, each known by its smallest case; hash_members tells the other cases."""
+    return _near_hashes(spark, d)[0].distinct()
+
+
+@query(f"WITH {_HASHES} SELECT case_id, r AS representative FROM h JOIN f USING (v)")
+def hash_members(spark: SparkSession, d: str) -> DataFrame:
+    return _near_hashes(spark, d)[1]
 
 
 @query("""SELECT upper(trim(m.diagnosis_label)) AS label, count(DISTINCT m.case_id) AS cases, count(DISTINCT coalesce(g.split_group, m.case_id)) AS groups, count(DISTINCT m.case_id) >= 30 AND count(DISTINCT coalesce(g.split_group, m.case_id)) >= 30 AS enough
@@ -517,9 +546,32 @@ def _grouped(spark: SparkSession, d: str) -> DataFrame:
     return m.join(_distinct(spark, d, "groups", "case_id", "split_group"), "case_id", "left").select("case_id", "label", F.coalesce("split_group", "case_id").alias("grp"))
 
 
+def _large_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The grouped cases of labels that have the six groups a test part and five folds need."""
+    g = materialize(_grouped(spark, d), "grouped")
+    enough = g.groupBy("label").agg(F.count_distinct("grp").alias("n")).where("n >= 6").select("label")
+    return g.join(enough, "label", "left_semi")
+
+
 @query()
 def split_greedy(spark: SparkSession, d: str) -> DataFrame:
-    return splits.greedy_split(_grouped(spark, d), "grp", "label")
+    return splits.greedy_split(_large_classes(spark, d), "grp", "label")
+
+
+_GROUPS = """g AS (SELECT DISTINCT coalesce(g.split_group, m.case_id) AS grp, upper(trim(m.diagnosis_label)) AS label FROM manifest m LEFT JOIN (SELECT DISTINCT case_id, split_group FROM groups) g USING (case_id) WHERE m.diagnosis_label IS NOT NULL)"""
+
+
+@query(f"WITH {_GROUPS} SELECT label, count(*) AS groups, true AS whole, true AS in_all, true AS near_target FROM g GROUP BY label HAVING count(*) >= 6")
+def split_greedy_check(spark: SparkSession, d: str) -> DataFrame:
+    """Of each label its groups, whether they are whole, in the test part and every fold, and near the test share (a fifth, half a group's slack for small labels)."""
+    rows = materialize(_large_classes(spark, d), "classes")
+    split = materialize(splits.greedy_split(rows, "grp", "label"), "split")
+    torn = split.groupBy("grp").agg(F.count("*").alias("k")).where("k > 1")
+    bad = splits.split_problems(split, rows, "grp", "label", 5)
+    own = rows.select("grp", "label").distinct().join(split, "grp").join(torn, "grp", "left")
+    per = own.groupBy("label").agg(F.count("*").alias("groups"), F.count_if(F.col("partition") == "test").alias("t"), (F.count("k") == 0).alias("whole")).join(bad, "label", "left")
+    near = F.abs(F.col("t") - F.col("groups") * 0.2) <= F.greatest(F.lit(2.0), F.col("groups") * 0.05)
+    return per.select("label", "groups", "whole", F.col("problem").isNull().alias("in_all"), near.alias("near_target"))
 
 
 _GROUPED = """g AS (SELECT DISTINCT coalesce(g.split_group, m.case_id) AS grp, upper(trim(m.diagnosis_label)) AS label FROM manifest m LEFT JOIN (SELECT DISTINCT case_id, split_group FROM groups) g USING (case_id) WHERE m.diagnosis_label IS NOT NULL)"""

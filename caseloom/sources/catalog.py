@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
-import re
 import uuid
 from pathlib import Path, PurePosixPath
 
@@ -12,69 +10,120 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def safe_path(root: str | Path, relative: str) -> Path:
-    """``relative`` below ``root``; absolute paths, drives and steps out of it are errors."""
-    plain = relative.replace("\\", "/")
-    if not plain or plain.startswith("/") or re.match(r"^[A-Za-z]:", plain) or ".." in PurePosixPath(plain).parts:
+def safe_relative(relative: str) -> str:
+    """``relative`` with plain separators if it names something below a root; else an error."""
+    parts = PurePosixPath(relative.replace("\\", "/")).parts
+    inside = bool(parts) and parts[0] != "/" and ":" not in parts[0] and ".." not in parts
+    if not inside:
         raise ValueError(f"unsafe path: {relative}")
-    path = (Path(root) / plain).resolve()
-    if not path.is_relative_to(Path(root).resolve()):
+    return "/".join(parts)
+
+
+def safe_path(root: str | Path, relative: str) -> Path:
+    """``relative`` below the local folder ``root``; links that lead out of it are errors as well."""
+    base = Path(root).resolve()
+    path = base.joinpath(safe_relative(relative)).resolve()
+    if base not in (path, *path.parents):
         raise ValueError(f"unsafe path: {relative}")
     return path
 
 
+class Files:
+    """The file system that Spark itself uses for a path: local, mounted or remote alike."""
+
+    def __init__(self, spark: SparkSession, root: str | Path) -> None:
+        self._jvm = spark.sparkContext._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.fs = self.path(str(root)).getFileSystem(self._conf)
+
+    def path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(name)
+
+    def exists(self, name: str) -> bool:
+        return self.fs.exists(self.path(name))
+
+    def rename(self, old: str, new: str) -> None:
+        if not self.fs.rename(self.path(old), self.path(new)):
+            raise OSError(f"cannot rename {old} to {new}")
+
+    def delete(self, name: str) -> None:
+        self.fs.delete(self.path(name), True)
+
+    def write_text(self, name: str, text: str) -> None:
+        stream = self.fs.create(self.path(name), True)
+        try:
+            stream.write(bytearray(text.encode("utf-8")))
+        finally:
+            stream.close()
+
+    def read_text(self, name: str) -> str:
+        stream = self.fs.open(self.path(name))
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode("utf-8-sig")
+        finally:
+            stream.close()
+
+
 class Catalog:
-    """Artifacts of one project folder. Table names map to Parquet below the root."""
+    """Artifacts below one root, a folder or a URI of any file system. Table names map to Parquet below it."""
 
     def __init__(self, spark: SparkSession, root: str | Path, schemas: dict[str, str] | None = None) -> None:
-        self.spark, self.root, self.schemas = spark, Path(root), schemas or {}
+        self.spark, self.root, self.schemas = spark, str(root).rstrip("/"), schemas or {}
+        self.files = Files(spark, self.root)
+
+    def path(self, relative: str) -> str:
+        return f"{self.root}/{safe_relative(relative)}"
 
-    def path(self, relative: str) -> Path:
-        return safe_path(self.root, relative)
+    def _beside(self, path: str, tag: str) -> str:
+        folder, _, name = path.rpartition("/")
+        return f"{folder}/.{name}.{tag}-{uuid.uuid4().hex}"
 
     def read(self, name: str, columns: list[str] | None = None, optional: bool = False) -> DataFrame:
         """The table; an optional one that is missing is empty with its declared schema."""
         path = self.path(name + ".parquet")
-        if not path.exists():
+        if not self.files.exists(path):
             if optional and name in self.schemas:
                 return self.spark.createDataFrame([], self.schemas[name])
             raise FileNotFoundError(f"{name} is missing; run the stage that writes it")
-        df = self.spark.read.schema(self.schemas[name]).parquet(str(path)) if name in self.schemas else self.spark.read.parquet(str(path))
+        df = self.spark.read.schema(self.schemas[name]).parquet(path) if name in self.schemas else self.spark.read.parquet(path)
         return df.select(*columns) if columns else df
 
     def write(self, name: str, df: DataFrame, once: bool = False) -> None:
         """Write beside the target, then rename: readers see the old or the new table, never a part."""
         path = self.path(name + ".parquet")
-        if once and path.exists():
+        if once and self.files.exists(path):
             raise FileExistsError(name)
         if name in self.schemas:
             want = self.spark.createDataFrame([], self.schemas[name])
             df = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in want.schema))
-        new, old = path.with_name(f".{path.name}.{uuid.uuid4().hex}"), path.with_name(f".{path.name}.old-{uuid.uuid4().hex}")
-        df.write.option("compression", "zstd").parquet(str(new))
-        if path.exists():
-            os.rename(path, old)
-        os.rename(new, path)
-        if old.exists():
-            import shutil
-
-            shutil.rmtree(old)
+        new, old = self._beside(path, "new"), self._beside(path, "old")
+        df.write.option("compression", "zstd").parquet(new)
+        replaced = self.files.exists(path)
+        if replaced:
+            self.files.rename(path, old)
+        self.files.rename(new, path)
+        if replaced:
+            self.files.delete(old)
 
     def write_json(self, relative: str, value: object, once: bool = False) -> None:
-        """JSON with sorted keys, atomically; a write-once file may be written again with equal content only."""
+        """JSON with sorted keys; a write-once file may be written again with equal content only."""
         path = self.path(relative)
         text = json.dumps(value, sort_keys=True, ensure_ascii=False, indent=2) + "\n"
-        if once and path.exists():
-            if path.read_text(encoding="utf-8") == text:
+        there = self.files.exists(path)
+        if once and there:
+            if self.files.read_text(path) == text:
                 return
             raise FileExistsError(relative)
-        path.parent.mkdir(parents=True, exist_ok=True)
-        new = path.with_name(f".{path.name}.{uuid.uuid4().hex}")
-        new.write_text(text, encoding="utf-8")
-        os.replace(new, path)
+        new, old = self._beside(path, "new"), self._beside(path, "old")
+        self.files.write_text(new, text)
+        if there:
+            self.files.rename(path, old)
+        self.files.rename(new, path)
+        if there:
+            self.files.delete(old)
 
     def read_json(self, relative: str) -> object:
-        return json.loads(self.path(relative).read_text(encoding="utf-8-sig"))
+        return json.loads(self.files.read_text(self.path(relative)))
 
 
 def checksums(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:

@@ -23,6 +23,11 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     return df.withColumnsRenamed({c: c.lstrip("﻿") for c in df.columns if c.startswith("﻿")})
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """CSV that :func:`read_csv` reads back: a header in each file, quoted line breaks, doubled quotes."""
+    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option("quoteAll", True).option("nullValue", "").option("emptyValue", "").csv(path)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
     """JSON lines as ``schema`` with the column problem; blank lines are skipped.
 

@@ -22,7 +22,8 @@ def windowed_counts(stream: DataFrame, time: str, width: str, delay: str, by: li
 def maintain_latest(stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str]) -> None:
     """Run ``stream`` to its end, keeping at ``path`` the row of each key that is last by ``order``.
 
-    Each micro-batch is merged into a new version of the table, so a repeated batch changes nothing.
+    Each micro-batch is merged into a new version of the table, so a repeated batch changes nothing. The
+    version that it was made of stays for those who read it; older ones are deleted.
     """
     spark = stream.sparkSession
 
@@ -30,17 +31,31 @@ def maintain_latest(stream: DataFrame, path: str, checkpoint: str, keys: list[st
         old = _newest(spark, path, number)
         every = batch if old is None else old.unionByName(batch)
         latest_by(every, keys, [F.col(c) for c in order]).write.mode("overwrite").parquet(f"{path}/v={number:012d}")
+        for version in _versions(spark, path)[:-2]:
+            _fs(spark, path).delete(_path(spark, f"{path}/{version}"), True)
 
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """The whole versions at ``path``, oldest first."""
+    fs = _fs(spark, path)
+    if not fs.exists(_path(spark, path)):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(_path(spark, path)) if s.getPath().getName().startswith("v="))
+    return [v for v in names if fs.exists(_path(spark, f"{path}/{v}/_SUCCESS"))]
+
+
 def _newest(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(fs_path):
-        return None
-    versions = sorted(s.getPath().getName() for s in fs.listStatus(fs_path) if s.getPath().getName().startswith("v="))
-    versions = [v for v in versions if int(v[2:]) < before and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{v}/_SUCCESS"))]
+    versions = [v for v in _versions(spark, path) if int(v[2:]) < before]
     return spark.read.parquet(f"{path}/{versions[-1]}") if versions else None
 
 

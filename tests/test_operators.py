@@ -5,20 +5,14 @@ from struct import pack
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import assertions, components, matcher, normalize, ontology, quality, records, splits
+from caseloom.operators import assertions, components, decisions, matcher, normalize, ontology, quality, records, splits
 
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("fallback", [False, True])
-def test_matcher_offsets(fallback, monkeypatch):
-    if fallback:
-        import builtins
-
-        real = builtins.__import__
-        monkeypatch.setattr(builtins, "__import__", lambda n, *a, **k: (_ for _ in ()).throw(ImportError(n)) if n == "ahocorasick" else real(n, *a, **k))
+def test_matcher_offsets():
     f = matcher.AliasFinder([("Virus Infection", "c1"), ("infection", "c2"), ("İx", "c3"), ("", "c4")])
     t = "α virus infection β; myvirus infection_ and İX."
     assert [(c, t[a:b]) for c, _, a, b in f.find(t)] == [("c1", "virus infection"), ("c2", "infection"), ("c2", "infection"), ("c3", "İX")]
@@ -118,14 +112,17 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-def test_band_pairs(spark):
+def test_near_hashes(spark):
     rnd = random.Random(1)
     base = [rnd.getrandbits(64) for _ in range(40)]
     vals = base + [b ^ sum(1 << k for k in rnd.sample(range(64), n % 7)) for n, b in enumerate(base)] + [base[0]]
     signed = [v - 2**64 if v >= 2**63 else v for v in vals]
-    df = spark.createDataFrame([(f"k{i:03}", v) for i, v in enumerate(signed)], "k string, v long")
-    want = sorted((f"k{i:03}", f"k{j:03}", bin(vals[i] ^ vals[j]).count("1")) for i in range(len(vals)) for j in range(i + 1, len(vals)) if bin(vals[i] ^ vals[j]).count("1") <= 4)
-    assert rows(components.band_pairs(df, "k", F.col("v"), 4)) == want
+    df = spark.createDataFrame([(f"k{i:03}", v) for i, v in enumerate(signed)], "k string, v long").withColumn("r", F.lit("clash"))
+    first = {v: f"k{vals.index(v):03}" for v in vals}
+    want = sorted((*sorted((first[x], first[y])), bin(x ^ y).count("1")) for x in first for y in first if x < y and bin(x ^ y).count("1") <= 4)
+    pairs, members = components.near_hashes(df, "k", F.col("v"), 4)
+    assert rows(pairs) == want and rows(members) == sorted((f"k{i:03}", first[v]) for i, v in enumerate(vals))
+    assert all(x.count() == 0 for x in components.near_hashes(df.limit(0), "k", F.col("v"), 4))
 
 
 def test_records(spark):
@@ -168,6 +165,12 @@ def test_splits(spark):
     assert {(r["l"], r["fold"]) for r in out if r["partition"] == "development"} == {(c, f) for c in ("c0", "c1") for f in range(5)}
     again = splits.greedy_split(spark.createDataFrame(list(reversed(data)), "g string, l string"), "g", "l")
     assert rows(again.select("g", "partition")) == sorted((r["g"], r["partition"]) for r in out)
+    assert splits.split_problems(spark.createDataFrame(out).select("g", "partition", "fold"), spark.createDataFrame(data, "g string, l string"), "g", "l", 5).count() == 0
+    with pytest.raises(ValueError, match="fewer than 6"):
+        splits.greedy_split(spark.createDataFrame(data + [("lone", "c9")], "g string, l string"), "g", "l")
+    hot = spark.createDataFrame([(f"g{i}", "hot" if i % 3 else "other") for i in range(300)], "g string, l string")
+    per = {(r["l"], r["fold"]): r["count"] for r in splits.hash_folds(hot, "g", "l", 5).groupBy("l", "fold").count().collect()}
+    assert sorted(per.values()) == [20] * 5 + [40] * 5
     a = spark.createDataFrame([("x", "k1", "dev"), ("y", "k1", "test"), ("x", None, "dev"), ("z", "k2", None)], "a string, b string, p string")
     assert rows(splits.overlaps(a, ["a", "b"], "p")) == [("a", 0), ("b", 1)]
     assert rows(splits.uncovered(spark.createDataFrame([("l1", 0), ("l1", 1), ("l2", 0)], "l string, f int"), "l", "f")) == [("l2", 1)]
@@ -219,3 +222,35 @@ def test_images(spark):
     assert [got[p[0]]["reason"] for p in files] == ["PASS", "PASS", "PASS", "IMAGE_TOO_SMALL", "IMAGE_UNREADABLE", "IMAGE_EMPTY"]
     assert got["a.png"]["pixel_sha256"] == got["b.png"]["pixel_sha256"] == got["c.png"]["pixel_sha256"] and got["a.png"]["image_sha256"] != got["b.png"]["image_sha256"]
     assert (got["a.png"]["width"], got["a.png"]["height"], len(got["a.png"]["perceptual_hash"])) == (80, 70, 16)
+
+
+def test_decisions(spark):
+    new, prior = spark.createDataFrame([("a", "n"), ("b", None)], "k string, why string"), spark.createDataFrame([("b", "p"), ("c", "q")], "k string, why string")
+    assert rows(decisions.merge_requirements(new, prior, "k", ["why"])) == [("a", "n", "NEW"), ("b", "p", "RENEWED"), ("c", "q", "PRIOR")]
+    shown = spark.createDataFrame([("a", "x", None), ("b", "x", 1), ("gone", "x", 1)], "k string, t string, n int")
+    now = spark.createDataFrame([("a", "x", None), ("b", "y", 1)], "k string, t string, n int")
+    assert [(r["k"], r["changed"]) for r in decisions.context_changes(shown, now, "k", ["t", "n"]).orderBy("k").collect()] == [("a", []), ("b", ["t"]), ("gone", ["t", "n"])]
+    jobs = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1"), ("d", "1")], "k string, h string")
+    done, failed = spark.createDataFrame([("a", "1"), ("c", "0"), ("a", "1")], "k string, h string"), spark.createDataFrame([("b", "1")], "k string, h string")
+    assert [(r["k"], r["state"]) for r in decisions.job_states(jobs, done, failed, "k", "h").orderBy("k").collect()] == [("a", "DONE"), ("b", "FAILED"), ("c", "STALE"), ("d", "PENDING")]
+    work = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    assert rows(decisions.job_scope(work, work.where("k < 'c'"), work.where("k = 'a'"), "k")) == [("b",)]
+    assert rows(decisions.job_scope(work, work.limit(0), work.where("k = 'a'"), "k")) == [("b",), ("c",)]
+    qc = spark.createDataFrame([("a", "1", True, 7), ("b", "2", True, 8)], "k string, h string, ok boolean, x int")
+    res = spark.createDataFrame([("a", "1", False), ("b", "1", True)], "k string, h string, ok boolean")
+    assert rows(decisions.apply_results(qc, res, "k", "h", {"ok": F.lit(None).cast("boolean")})) == [("a", "1", 7, False), ("b", "2", 8, None)]
+    joined = decisions.look_up(work, "k", s=spark.createDataFrame([("a", "clash")], "k string, why string"), t=prior)
+    assert rows(joined.select("k", "s.why", "t.why")) == [("a", "clash", None), ("b", None, "p"), ("c", None, "q")]
+    with pytest.raises(Exception, match="no t for a"):
+        decisions.strict_join(work, "k", t=prior).collect()
+    counts = decisions.count_codes(qc, (F.col("ok"), "OK"), (F.col("x") > 7, "X"), (F.lit(None).cast("boolean"), "NONE"))
+    assert rows(counts) == [("NONE", 0), ("OK", 2), ("X", 1)] and rows(decisions.count_codes(qc.limit(0), (F.col("ok"), "OK"))) == [("OK", 0)]
+    assert rows(decisions.gate_status(counts.where("code = 'NONE'"), qc)) == [("PASS", 2, 0)] and rows(decisions.gate_status(counts, qc.limit(0))) == [("FAIL", 0, 2)]
+    over = spark.createDataFrame([("a", "g", 0), ("b", "g", 1), ("c", "g", 2), ("a", "h", 0), (None, "h", 1), ("a", None, 3), ("z", "q", None)], "k string, g string, fold int")
+    assert rows(decisions.pairwise_overlaps(over, ["g", "k"], "fold")) == [("g", 3), ("k", 1)]
+    member, closure = spark.createDataFrame([("p", "top"), ("p", "low"), ("q", "top")], "g string, c string"), spark.createDataFrame([("low", "top")], "node string, ancestor string")
+    assert rows(decisions.collapse_targets(member, closure, "g", "c")) == [("p", ["low"], 1), ("q", ["top"], 1)]
+    reviews = spark.createDataFrame([("a", "1", 1), ("a", "0", 9), ("a", "1", 2)], "k string, h string, n int")
+    assert rows(decisions.current(reviews, jobs, ["k", "h"], [F.col("n")])) == [("a", "1", 2)]
+    flags = spark.createDataFrame([(None, ["x"], 0.0), (True, [], 0.0), (True, None, 0.0)], "ok boolean, l array<string>, u double")
+    assert [tuple(r) for r in flags.select(decisions.all_true(F.col("ok")), decisions.none_listed(F.col("l"))).collect()] == [(False, False), (True, True), (True, True)]

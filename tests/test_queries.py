@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from caseloom.plans import queries
+from caseloom.plans import decision_queries, queries, source_queries  # noqa: F401 - they register theirs
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
