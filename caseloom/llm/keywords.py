@@ -1,33 +1,48 @@
 """Problem 9: pages of repeated keywords, links or product tags instead of sentences.
 
-Per page a rank-frequency curve is fitted with SQL windows; it and the page's divergence from the prose
-of its language are held against prose pages of comparable length. Prose pages are those with many of
-the language's commonest words, prose words those that enough prose pages hold. The divergence is the
-share of a page's words that prose does not have, repeated ones or all, and the excess of its most repeated
-prose word over the repeats that are usual for that word in prose pages, which grow with the length; words
+Per page a rank-frequency curve is fitted with SQL windows; its slope and residual and the page's divergence
+from the prose of its language are held against prose pages of the same language and comparable length, and
+any of them flags a page that is extreme. Prose pages are those with many of the language's commonest words,
+prose words those that enough prose pages hold. The divergence has three measures, as shares of a page's
+words: repeated words that prose does not have, all words that prose does not have, and the excess of the most
+repeated prose word over the repeats that are usual for it in prose pages, which grow with the length. Words
 that label a number, as in laboratory panels and medication lists, count for the length but not as divergent.
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.session import is_small, materialize
+from caseloom.session import discard, is_small, materialize, ship
+
+ship(__name__)
 
-#: A word of at least two letters, with the first character of a number if it stands before one on its line.
-WORD = r"[a-z\p{L}]{2,}+(?:[^a-z\p{L}0-9\p{N}\n]{0,4}[0-9])?"  # lower-case text; a-z first, as it is tried first
-#: Commonest words of a language that tell prose, the least share of them in prose, and the words and pages they are sought among.
+#: A word of at least two letters, with the first digit of a number if it stands before one on its line; lower-case text.
+WORD = re.compile(r"[^\W\d_]{2,}+(?:[^\w\n]{0,4}[0-9])?")
+LETTERS = re.compile(r"[^\W\d_]+")
+#: Commonest words of a language that tell prose, the least share of them in prose, and the share of pages they are sought among.
 COMMON, PROSE_SHARE, COMMON_LEAST = 40, 0.30, 0.01
+#: Distinct pages that name a language before it has a model; pages of other languages are not held against any prose.
+LEAST_PAGES = 50
 #: A prose word stands in this share of the prose pages, and in this many at least; so there are at most (words of a page / share) of them.
 VOCABULARY_SHARE, VOCABULARY_PAGES = 0.002, 3
-MOST_LANGUAGES, MOST_BROADCAST = 100, 2_000_000
-#: Shares of divergent words that flag a page by repeated words, by all words, and by repeated ones beside an extreme curve.
-REPEATED, FOREIGN, SUSPECT = 0.09, 0.45, 0.075
-#: Excess of one prose word, as a share of the page's words, that flags a page alone and beside an extreme curve.
-STUFFED, STUFFED_SUSPECT = 0.32, 0.29
-#: Robust deviations that make slope or residual extreme, and the least deviation scale.
-EXTREME, LEAST_SCALE = 4.0, 0.05
+#: Rows of a lookup table that are broadcast; beyond, it is joined by a shuffle.
+MOST_BROADCAST = 2_000_000
+#: A measure is extreme this many deviations from the median of comparable prose. A deviation is that of the
+#: quartiles, and at least the measure's tolerance.
+EXTREME = 4.5
+TOLERANCE = {"repeated": 0.02, "foreign": 0.1, "excess": 0.06, "slope": 0.2, "residual": 0.09}
+CURVE = ("slope", "residual")
+#: Prose pages of a length (power of two) that make it comparable; below, divergence is held against all the language's prose, and the curve, which depends on the length, against none.
+COMPARABLE = 20
 LEAST_WORDS = 6
 
 CURVES = """
@@ -59,83 +74,121 @@ def text_ids(documents: DataFrame) -> DataFrame:
     return rows.select("doc_id", "lang", F.xxhash64("lang", "text").alias("page"), F.xxhash64("doc_id", "lang", "text").alias("row"))
 
 
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stage that counts the words of texts: (page, lang, text) to (page, lang, total, words)."""
+    for batch in batches:
+        words, n, free, cut, total = [], [], [], [0], []
+        for text in batch.column("text").to_pylist():
+            found = Counter(WORD.findall(text.lower()))
+            each = {}
+            for w, k in found.items():
+                if w[-1] <= "9":  # a letter is above the digits
+                    w = LETTERS.match(w)[0]
+                    each[w] = (each[w][0] + k, each[w][1]) if w in each else (k, 0)
+                else:
+                    each[w] = (each[w][0] + k, each[w][1] + k) if w in each else (k, k)
+            words.extend(each)
+            n.extend(k for k, _ in each.values())
+            free.extend(k for _, k in each.values())
+            cut.append(len(words))
+            total.append(found.total())
+        items = pa.StructArray.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int32()), pa.array(free, pa.int32())], ["word", "n", "free"])
+        listed = pa.ListArray.from_arrays(pa.array(np.array(cut, dtype=np.int32)), items)
+        yield pa.RecordBatch.from_arrays([batch.column("page"), batch.column("lang"), pa.array(total, pa.int64()), listed], ["page", "lang", "total", "words"])
+
+
 def page_words(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """(page, lang, total, words) of distinct texts with words; words holds (word, n, free), free without those before a number.
 
     lang is the language's code. ``ids`` is text_ids of ``documents``. One row stands for all copies of a text;
-    it is chosen before texts move, so copies are not gathered. Texts are moved once, so that counting words
-    needs no other shuffle. An empty word is counted with each row: the counts of a row that is delivered
-    several times are divided by their number.
+    it is chosen before texts move, so copies are not gathered. Words are counted in Python, a text at a time:
+    exploding them in the JVM to count them took three times the processor time (see the README).
     """
     chosen = materialize(ids.groupBy("page").agg(F.min("row").alias("row"), F.max("lang").alias("lang")), "chosen")
     rows = documents.where("doc_id is not null and text is not null").select(F.xxhash64("doc_id", language_code(F.col("lang")), "text").alias("row"), "text")
-    rows = rows.join(chosen.select("row").hint("shuffle_hash"), "row", "left_semi")
-    found = rows.select("row", F.explode(F.concat(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)), F.array(F.lit("")))).alias("w"))
-    free = ~F.right("w", F.lit(1)).between("0", "9")
-    found = found.select("row", F.when(free, F.col("w")).otherwise(F.regexp_extract("w", r"^\p{L}+", 0)).alias("word"), free.cast("int").alias("free"))
-    counted = found.groupBy("row", "word").agg(F.count("*").cast("int").alias("n"), F.sum("free").cast("int").alias("free"))
-    real = F.col("word") != ""
-    pages = counted.groupBy("row").agg(
-        F.sum(F.when(~real, F.col("n"))).cast("int").alias("rows"), F.sum(F.when(real, F.col("n"))).alias("total"), F.collect_list(F.when(real, F.struct("word", "n", "free"))).alias("words")
-    )
-    once = F.transform("words", lambda x: F.struct(x["word"].alias("word"), F.floor(x["n"] / F.col("rows")).cast("int").alias("n"), F.floor(x["free"] / F.col("rows")).cast("int").alias("free")))
-    words = F.when(F.col("rows") > 1, once).otherwise(F.col("words"))
-    total = F.when(F.col("rows") > 1, F.floor(F.col("total") / F.col("rows"))).otherwise(F.col("total"))
-    pages = pages.where("total > 0").select("row", total.cast("long").alias("total"), words.alias("words"))
-    return pages.join(chosen.hint("shuffle_hash"), "row").select("page", "lang", "total", "words")
-
-
-def common_words(pages: DataFrame) -> dict[int, list[str]]:
-    """The commonest words of each language by distinct texts, for languages with a hundredth of the pages at least."""
-    sizes = {r["lang"]: r["count"] for r in pages.where("lang <> 0").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
-    whole = sum(sizes.values())
-    sizes = {k: n for k, n in sizes.items() if n >= whole / MOST_LANGUAGES}
-    if not sizes:
-        return {}
-    held = pages.where(F.col("lang").isin(list(sizes))).select("lang", F.explode("words.word").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("pages"))
-    least = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, COMMON_LEAST * n)))
-    often = held.where(F.col("pages") >= F.element_at(least, F.col("lang")))  # at most a page's words / COMMON_LEAST each
-    ranked = often.selectExpr("lang", "word", "row_number() OVER (PARTITION BY lang ORDER BY pages DESC, word) AS r").where(F.col("r") <= COMMON)
-    out: dict[int, list[str]] = {k: [] for k in sizes}  # the most frequent language first: it wins ties
-    for r in ranked.orderBy("lang", "r").collect():
-        out[r["lang"]].append(r["word"])
-    return out
-
-
-def _share(words: list[str]) -> Column:
-    mine = F.filter("words", lambda x: x["word"].isin(words))  # a hash set, as these are literals
-    return F.aggregate(mine, F.lit(0), lambda a, x: a + x["n"]) / F.col("total")
+    once = rows.groupBy("row").agg(F.first("text").alias("text"))  # a row that is delivered several times counts once
+    rows = once.join(chosen.hint("shuffle_hash"), "row").select("page", "lang", "text")
+    return rows.mapInArrow(_count_words, "page long, lang long, total long, words array<struct<word string, n int, free int>>").where("total > 0")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if is_small(df, MOST_BROADCAST) else df
+
+
+def common_words(pages: DataFrame) -> DataFrame:
+    """(language, size, word): the commonest words by distinct texts of each language that LEAST_PAGES pages name, size of them."""
+    sizes = pages.where("lang <> 0").groupBy("lang").agg(F.count("*").alias("size")).where(F.col("size") >= LEAST_PAGES)
+    sizes = _small(materialize(sizes, "languages"))
+    held = pages.where("lang <> 0").join(sizes, "lang").select("lang", "size", F.explode("words.word").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("pages"), F.max("size").alias("size"))
+    often = held.where(F.col("pages") >= COMMON_LEAST * F.col("size"))  # at most a page's words / COMMON_LEAST a language
+    ranked = often.selectExpr("lang", "size", "word", "row_number() OVER (PARTITION BY lang ORDER BY pages DESC, word) AS r")
+    return materialize(ranked.where(F.col("r") <= COMMON).select(F.col("lang").alias("language"), "size", "word"), "common")
+
+
+def _find_language(models: dict[int, pa.Array]):
+    """Stage that adds language and share to (page, lang, total, words); ``models`` has the commonest words by language, in order of size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, lang = batch.column("words"), batch.column("lang").to_numpy()
+            sizes = np.diff(lists.offsets.to_numpy())
+            items, row = lists.flatten(), np.repeat(np.arange(len(lang)), sizes)
+            words, n = items.field("word"), items.field("n").to_numpy()
+            best, language = np.full(len(lang), -1, dtype=np.int64), np.zeros(len(lang), dtype=np.int64)
+
+            def held(rows: np.ndarray, code: int) -> np.ndarray:
+                """How many words of each of ``rows`` are among the commonest of the language; 0 for other rows."""
+                mine = rows[row]
+                known = pc.is_in(words.filter(pa.array(mine)), value_set=models[code]).to_numpy(zero_copy_only=False)
+                return np.bincount(row[mine], weights=known * n[mine], minlength=len(lang)).astype(np.int64)
+
+            for code in np.unique(lang):
+                for model in (models if code == 0 else [int(code)] if code in models else []):
+                    rows = lang == code
+                    count = held(rows, model)
+                    better = rows & (count > best)
+                    best[better], language[better] = count[better], model
+            unknown = best < 0
+            share = np.maximum(best, 0) / np.maximum(1, batch.column("total").to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column("page"), pa.array(language, pa.int64(), mask=unknown), pa.array(share), batch.column("total"), lists], ["page", "language", "share", "total", "words"])
+
+    return run
+
+
+def with_language(pages: DataFrame, common: DataFrame) -> DataFrame:
+    """``pages`` with language and share, the part of their words that are among its commonest.
+
+    The language is the page's own. A page that names none has the one with the largest share, of equals
+    that with the most pages; one that names a language without a model has null. The models, COMMON words a
+    language of LEAST_PAGES pages or more, go to the pages, so no page is moved.
+    """
+    listed: dict[int, list[str]] = {}
+    for r in common.orderBy(F.desc("size"), "language", "word").collect():
+        listed.setdefault(r["language"], []).append(r["word"])
+    models = {code: pa.array(words, pa.string()) for code, words in listed.items()}
+    return pages.mapInArrow(_find_language(models), "page long, language long, share double, total long, words array<struct<word string, n int, free int>>")
 
 
 def keyword_features(documents: DataFrame) -> DataFrame:
     """(doc_id, language, total, share, repeated, foreign, excess, slope, residual, flagged) of every page with words.
 
-    language is the page's own or, if that is null or rare, the one whose common words it has most of.
-    What is common, prose or usual is counted over distinct texts, so copies of a page do not shift it.
-    An id with several texts has the largest value of each column. Pages without words do not come out; those of fewer than LEAST_WORDS words are never flagged.
+    language is null for pages of a language without a model, which have no divergence and are never flagged;
+    a page that names no language has the model that fits best. What is common, prose or usual is counted
+    over distinct texts, so copies of a page do not shift it. An id with several texts has the largest value
+    of each column. Pages without words do not come out; those of fewer than LEAST_WORDS words are never flagged.
     """
     spark = documents.sparkSession
     ids = materialize(text_ids(documents), "ids")
     pages = materialize(page_words(documents, ids), "pages")
     common = common_words(pages)
-    if not common:
-        common = {0: []}
-    codes = list(common)  # in what follows a language is its place here
-    shares = [_share(w) if w else F.lit(0.0) for w in common.values()]
-    best, guess = F.lit(-1.0), F.lit(0)
-    ranked = pages.withColumns({f"__{i}": F.when(F.col("lang").isin(codes) & (F.col("lang") != k), -1.0).otherwise(s) for i, (k, s) in enumerate(zip(codes, shares, strict=True))})
-    for i in range(len(codes)):
-        guess = F.when(F.col(f"__{i}") > best, F.lit(i)).otherwise(guess)
-        best = F.greatest(best, F.col(f"__{i}"))
-    known = ranked.select("page", guess.alias("language"), F.greatest(best, F.lit(0.0)).alias("share"), "total", "words")
+    known = materialize(with_language(pages, common), "known")
+    discard(pages)
     prose = known.where(F.col("share") >= PROSE_SHARE)
     sizes = prose.groupBy("language").agg(F.count("*").alias("prose_pages"))
     held = prose.select("language", F.col("total").alias("length"), F.inline("words")).groupBy("language", "word").agg(F.count("*").alias("held"), F.sum(F.col("n") - 1).alias("repeats"), F.sum("length").alias("length"))
     least = F.greatest(F.lit(VOCABULARY_PAGES), F.col("prose_pages") * VOCABULARY_SHARE)
-    vocabulary = held.join(F.broadcast(sizes), "language").where(F.col("held") >= least).select("language", "word", (F.col("repeats") / F.col("length")).alias("rate"))  # sizes: a row a language
-    vocabulary = materialize(vocabulary, "vocabulary")
-    if is_small(vocabulary, MOST_BROADCAST):
-        vocabulary = F.broadcast(vocabulary)
+    vocabulary = held.join(sizes, "language").where(F.col("held") >= least).select("language", "word", (F.col("repeats") / F.col("length")).alias("rate"))
+    vocabulary = _small(materialize(vocabulary, "vocabulary"))
     each = known.select("page", "language", "share", "total", F.inline("words")).join(vocabulary, ["language", "word"], "left")
     odd = F.col("rate").isNull()
     sums = each.groupBy("page").agg(
@@ -143,22 +196,31 @@ def keyword_features(documents: DataFrame) -> DataFrame:
         F.sum(F.when(odd & (F.col("n") > 1), F.col("free")).otherwise(0)).alias("r"), F.sum(F.when(odd, F.col("free")).otherwise(0)).alias("f"),
         F.max(F.greatest(F.lit(0.0), F.col("free") - 1 - F.col("rate") * F.col("total"))).alias("x")
     )
-    spectrum = pages.select(F.col("page").alias("doc_id"), F.explode("words.n").alias("freq")).groupBy("doc_id", "freq").agg(F.count("*").alias("words"))
+    spectrum = known.select(F.col("page").alias("doc_id"), F.explode("words.n").alias("freq")).groupBy("doc_id", "freq").agg(F.count("*").alias("words"))
     rows = sums.join(spark.sql(CURVES, spectrum=spectrum).withColumnRenamed("doc_id", "page"), "page")
-    rows = materialize(rows.select("page", "language", "total", "share", (F.col("r") / F.col("total")).alias("repeated"), (F.col("f") / F.col("total")).alias("foreign"), (F.coalesce("x", F.lit(0.0)) / F.col("total")).alias("excess"), "slope", "residual", F.floor(F.log2(F.col("total").cast("double"))).cast("int").alias("bin")), "features")
-    usual = rows.where(F.col("share") >= PROSE_SHARE).groupBy("language", "bin").agg(*(F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias("q_" + c) for c in ("slope", "residual")))
-    rows = rows.join(F.broadcast(usual), ["language", "bin"], "left")  # languages x 40 lengths at most
-
-    def extreme(c: str) -> Column:
-        q = F.col("q_" + c)
-        scale = F.greatest((F.get(q, F.lit(2)) - F.get(q, F.lit(0))) / 1.349, F.lit(LEAST_SCALE))
-        return F.coalesce(F.abs(F.col(c) - F.get(q, F.lit(1))) / scale > EXTREME, F.lit(True))
-
-    curve = extreme("slope") | extreme("residual")
-    flagged = (F.col("total") >= LEAST_WORDS) & ((F.col("repeated") >= REPEATED) | (F.col("foreign") >= FOREIGN) | (F.col("excess") >= STUFFED) | (((F.col("repeated") >= SUSPECT) | (F.col("excess") >= STUFFED_SUSPECT)) & curve))
-    values = ["language", "total", "share", "repeated", "foreign", "excess", "slope", "residual", "flagged"]
-    rows = ids.select("doc_id", "page").join(rows.withColumn("flagged", flagged).select("page", *values), "page").groupBy("doc_id").agg(*(F.max(c).alias(c) for c in values))
-    names = documents.select(F.lower(F.trim("lang")).alias("language_name"), language_code(F.col("lang")).alias("lang")).where(F.col("lang").isin(codes)).distinct()
-    named = {r["lang"]: r["language_name"] for r in names.collect()}  # at most MOST_LANGUAGES
-    rows = rows.withColumn("language", F.element_at(F.array(*(F.lit(named.get(k, "und")) for k in codes)), F.col("language") + 1))
-    return rows.select("doc_id", "language", "total", *(F.round(c, 6).alias(c) for c in ("share", "repeated", "foreign", "excess", "slope", "residual")), "flagged")
+    part = lambda c: F.when(F.col("language").isNotNull(), F.coalesce(c, F.lit(0.0)) / F.col("total"))
+    rows = materialize(rows.select("page", "language", "total", "share", part("r").alias("repeated"), part("f").alias("foreign"), part("x").alias("excess"), "slope", "residual", F.floor(F.log2(F.col("total").cast("double"))).cast("int").alias("bin")), "features")
+    values = ["language", "total", "share", *TOLERANCE, "flagged"]
+    rows = _flagged(rows).select("page", *values)
+    rows = ids.select("doc_id", "page").join(rows, "page").groupBy("doc_id").agg(*(F.max(c).alias(c) for c in values))
+    names = documents.where("lang is not null").groupBy(language_code(F.col("lang")).alias("language")).agg(F.min(F.lower(F.trim("lang"))).alias("name"))
+    names = _small(names.join(common.select("language").distinct(), "language", "left_semi"))
+    rows = rows.join(names, "language", "left").withColumn("language", F.col("name"))
+    return rows.select("doc_id", "language", "total", *(F.round(c, 6).alias(c) for c in ("share", *TOLERANCE)), "flagged")
+
+
+def _flagged(rows: DataFrame) -> DataFrame:
+    """``rows`` with flagged: whether a measure is extreme among the prose pages of the language and length."""
+    prose = rows.where(F.col("share") >= PROSE_SHARE)
+    quartiles = lambda names: [F.percentile_approx(c, [0.25, 0.5, 0.75], 1000).alias("q_" + c) for c in names]
+    near = prose.groupBy("language", "bin").agg(F.count("*").alias("near"), *quartiles(TOLERANCE))
+    wide = prose.groupBy("language").agg(*(x.alias("w_" + c) for c, x in zip(TOLERANCE, quartiles(TOLERANCE), strict=True) if c not in CURVE))
+    rows = rows.join(_small(near), ["language", "bin"], "left").join(_small(wide), "language", "left")
+    comparable = F.coalesce(F.col("near") >= COMPARABLE, F.lit(False))
+    out = F.lit(False)
+    for c, tolerance in TOLERANCE.items():
+        q = F.when(comparable, F.col("q_" + c)) if c in CURVE else F.when(comparable, F.col("q_" + c)).otherwise(F.col("w_" + c))
+        away = F.col(c) - F.get(q, F.lit(1))
+        scale = F.greatest((F.get(q, F.lit(2)) - F.get(q, F.lit(0))) / 1.349, F.lit(tolerance))
+        out = out | F.coalesce((F.abs(away) if c in CURVE else away) / scale > EXTREME, F.lit(False))
+    return rows.withColumn("flagged", out & (F.col("total") >= LEAST_WORDS))
