@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.llm.components import connected_components
 from caseloom.llm.shingles import BLOCK, TOKEN_BITS, distinct_tokens, mix, shingle_hashes, sorted_unique
 from caseloom.session import is_small, materialize, ship
 
@@ -178,13 +179,11 @@ def _postings(width: int, codes, t: Fraction, parts: int):
             part = (sig % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part * BLOCK + doc)
             doc, sig, passed, part = doc[order], sig[order], passed[order], part[order]
-            cut = np.searchsorted(part, np.arange(parts + 1))
+            starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else part
             narrow = np.min_scalar_type(int(passed.max(initial=0)))
             rows = []
-            for p in range(parts):
-                at = slice(cut[p], cut[p + 1])
-                if cut[p] == cut[p + 1]:
-                    continue
+            for first, end in zip(starts, [*starts[1:], len(part)], strict=True):  # only parts that have postings
+                at, p = slice(first, end), int(part[first])
                 number = np.bincount(doc[at], minlength=len(ids))
                 own = np.flatnonzero(number)
                 rows.append((p, (sig[at] >> np.uint64(32)).astype(np.uint32).tobytes(), passed[at].astype(narrow).tobytes(), ids[own].tobytes(), number[own].astype(np.uint32).tobytes(), size[own].astype(np.uint32).tobytes(), bits[own].tobytes()))
@@ -300,6 +299,16 @@ class NearDuplicates:
         out = self.pairs.join(own.select(F.col("h").alias("x"), F.col("doc_id").alias("a")), "x").join(own.select(F.col("h").alias("y"), F.col("doc_id").alias("b")), "y")
         return out.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    def groups(self) -> DataFrame:
+        """(doc_id, field, group): the texts that similar pairs link, directly or through others; group is the smallest class of it.
+
+        Classes are linked, not documents, so copies of a text add nothing to the graph; a text that is like
+        no other is a group of its own class.
+        """
+        own = self.rows.select("doc_id", "field", "h").distinct()
+        found = connected_components(self.pairs.where("x <> y"), "x", "y").select(F.col("node").alias("h"), "component")
+        return own.join(found, "h", "left").select("doc_id", "field", F.hex(F.coalesce("component", "h")).alias("group"))
+
     def classes(self) -> DataFrame:
         """(doc_id, field, class, links): for each text its class of equal texts and how many other documents' texts are like it."""
         own = self.rows.select("doc_id", "field", "h").distinct()
