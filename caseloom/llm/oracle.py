@@ -25,15 +25,8 @@ def _same_form(x: str) -> str:
     return f"trim(regexp_replace(nfc_normalize({out}), ' +', ' ', 'g'))"
 
 
-SQL = {
-    "p3_found": f"""
-WITH pairs AS (
-  SELECT m.request_sha256, m.evidence_quote AS q, c.raw_case_text AS t FROM medgemma_labels m JOIN cases c USING (case_id)
-  WHERE m.evidence_quote <> '' AND NOT contains(c.raw_case_text, m.evidence_quote)
-), same AS (SELECT request_sha256, {_same_form('q')} AS q, {_same_form('t')} AS t FROM pairs)
-SELECT DISTINCT request_sha256 FROM same WHERE q <> '' AND contains(t, q)""",
-    "p1_found": """
-WITH RECURSIVE img AS (
+_MATCHES = (
+    """WITH RECURSIVE img AS (
   SELECT DISTINCT case_id, lower(trim(image_sha256)) AS sha,
     lpad(regexp_replace(lower(trim(perceptual_hash)), '^0x', ''), 16, '0') AS ph
   FROM selected_images
@@ -47,7 +40,34 @@ WITH RECURSIVE img AS (
   SELECT least(x.case_id, y.case_id), greatest(x.case_id, y.case_id) FROM bits x JOIN bits y ON x.case_id < y.case_id AND bit_count(xor(x.v, y.v)) <= 4
 ), both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges)"""
     + _CHAIN
-    + "SELECT root AS group_case_id, node AS case_id FROM lowest WHERE root <> node",
+)
+_SHINGLES = f"""t AS (
+  SELECT DISTINCT case_id, 'raw' AS field, lower({_same_form('raw_case_text')}) AS x FROM cases WHERE raw_case_text IS NOT NULL
+  UNION SELECT DISTINCT case_id, 'clinical', lower({_same_form('clinical_text')}) FROM text_qc WHERE clinical_text IS NOT NULL
+), w AS (SELECT case_id, field, regexp_extract_all(x, '[\\p{{L}}\\p{{N}}]+') AS w FROM t
+), s AS (SELECT DISTINCT case_id, field, unnest(list_transform(range(1, greatest(1, len(w) - 1)), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS tok FROM w
+), n AS (SELECT case_id, field, count(*) AS n FROM s GROUP BY 1, 2
+), c AS (SELECT field, a.case_id AS x, b.case_id AS y, count(*) AS c FROM s a JOIN s b USING (field, tok) WHERE a.case_id < b.case_id GROUP BY 1, 2, 3
+), alike AS (SELECT c.field, c.x, c.y FROM c JOIN n p ON p.field = c.field AND p.case_id = c.x JOIN n q ON q.field = c.field AND q.case_id = c.y WHERE 5 * c.c >= 3 * (p.n + q.n - c.c))"""
+
+SQL = {
+    "p4_found": f"WITH {_SHINGLES} SELECT DISTINCT x AS case_id_a, y AS case_id_b FROM alike",
+    "p4_links": f"""WITH {_SHINGLES}, both_ways AS (SELECT field, x, y FROM alike UNION SELECT field, y, x FROM alike), k AS (SELECT field, x, count(*) AS links FROM both_ways GROUP BY 1, 2)
+SELECT t.case_id, t.field, coalesce(k.links, 0) AS links FROM (SELECT DISTINCT case_id, field FROM t) t LEFT JOIN k ON k.field = t.field AND k.x = t.case_id""",
+    "p4_group_sizes": f"""WITH RECURSIVE {_SHINGLES}, both_ways AS (SELECT field, x AS a, y AS b FROM alike UNION SELECT field, y, x FROM alike),
+chain(field, node, seen) AS (SELECT DISTINCT field, case_id, case_id FROM t UNION SELECT c.field, c.node, e.b FROM chain c JOIN both_ways e ON e.a = c.seen AND e.field = c.field
+), roots AS (SELECT field, node, min(seen) AS root FROM chain GROUP BY 1, 2), g AS (SELECT field, root, count(*) AS size FROM roots GROUP BY 1, 2)
+SELECT field, size, count(*) AS n FROM g GROUP BY 1, 2""",
+    "p3_found": f"""
+WITH pairs AS (
+  SELECT m.request_sha256, m.evidence_quote AS q, c.raw_case_text AS t FROM medgemma_labels m JOIN cases c USING (case_id)
+  WHERE m.evidence_quote <> '' AND NOT contains(c.raw_case_text, m.evidence_quote)
+), same AS (SELECT request_sha256, {_same_form('q')} AS q, {_same_form('t')} AS t FROM pairs)
+SELECT DISTINCT request_sha256 FROM same WHERE q <> '' AND contains(t, q)""",
+    "p1_found": _MATCHES + "SELECT root AS group_case_id, node AS case_id FROM lowest WHERE root <> node",
+    "p1_groups": _MATCHES
+    + """, every AS (SELECT case_id FROM selected_images UNION SELECT case_id FROM groups)
+SELECT e.case_id, coalesce(l.root, e.case_id) AS group_case_id FROM every e LEFT JOIN lowest l ON l.node = e.case_id WHERE e.case_id IS NOT NULL""",
     "p2_agreement": """
 WITH r AS (
   SELECT case_id, 'a:' || model AS annotator, decision, raw_text_sha256, reviewed_at FROM reviewer_a
