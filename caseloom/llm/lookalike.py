@@ -9,6 +9,9 @@ shortest, then smallest member of each class is its canonical form and is joined
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +64,8 @@ WITH words AS (
   SELECT word FROM words
   UNION
   SELECT regexp_replace(word, '[^!-~]', '') FROM words
+  UNION
+  SELECT composed FROM {words}
 ), classes AS (
   SELECT min(struct(char_length(word) AS size, word)).word AS canonical
   FROM members WHERE word <> '' GROUP BY word COLLATE UNICODE
@@ -74,10 +79,16 @@ WHERE w.word <> c.canonical
 def canonical_words(words: DataFrame) -> DataFrame:
     """(word, canonical) for the words of column ``word`` that are not the canonical member of their class.
 
-    A class also holds the plain characters of each of its words, so a word that only adds characters
-    without a weight of their own goes to the plain word, whether that was seen or not.
+    A class also holds the plain characters and the composed form of each of its words, whether these were
+    seen or not: a word that only adds characters without a weight of their own goes to the plain word, and
+    an accent of its own to the letter that has it, whatever punctuation stands beside.
     """
-    return words.sparkSession.sql(CLASSES, words=words)
+
+    @F.pandas_udf("string")
+    def composed(word: pd.Series) -> pd.Series:
+        return word.map(lambda w: unicodedata.normalize("NFC", w), na_action="ignore")
+
+    return words.sparkSession.sql(CLASSES, words=words.select("word").distinct().withColumn("composed", composed("word")))
 
 
 def canonical_text(rows: DataFrame, columns: list[str], key: str) -> DataFrame:
