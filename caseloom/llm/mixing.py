@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.ranks import group_rank, unit
+from caseloom.operators.ranks import group_rank, unit
 from caseloom.session import is_small, materialize
 
 #: Rows of a plan that are broadcast; beyond, they are joined by a shuffle.

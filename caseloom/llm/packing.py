@@ -7,7 +7,7 @@ from bisect import bisect_left, insort
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.llm.ranks import group_rank, unit
+from caseloom.operators.ranks import group_rank, unit
 from caseloom.session import materialize
 
 SLOTS = "size long, first long, upto long, each long, container long"

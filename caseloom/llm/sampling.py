@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseloom.llm.flow import Network, round_margins
-from caseloom.llm.ranks import group_rank, unit
+from caseloom.operators.ranks import group_rank, unit
 from caseloom.session import is_small
 
 #: Rows of quotas that are broadcast; beyond, they are joined by a shuffle.

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from caseloom.llm.components import connected_components, star_edges
 from caseloom.llm.flow import Network
-from caseloom.llm.ranks import group_rank, unit
 from caseloom.llm.sampling import clean_label
+from caseloom.operators.ranks import group_rank, unit
 from caseloom.session import is_small, materialize
 
 #: Spellings that name no patient, in lower case. Values without a letter or digit name none either.

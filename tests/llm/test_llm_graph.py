@@ -4,7 +4,8 @@ from itertools import combinations
 from pyspark.sql import functions as F
 
 from caseloom.llm import components, flow, matching, sampling, splits
-from caseloom.llm.ranks import group_rank, unit
+from caseloom.operators import hamming
+from caseloom.operators.ranks import group_rank, unit
 
 
 def rows(df):
@@ -51,9 +52,9 @@ def test_hamming_pairs(spark):
     signed = sorted({v - 2**64 if v >= 2**63 else v for v in vals + crowd})
     want = [(a, b) for a, b in combinations(signed, 2) if bin((a ^ b) & (2**64 - 1)).count("1") <= 4]
     df = spark.createDataFrame([(v,) for v in signed] + [(None,), (signed[0],)], "v long")
-    assert rows(components.hamming_pairs(df, "v", 4)) == want
-    assert rows(components.hamming_pairs(df, "v", 4, hot=3)) == want
-    assert rows(components.hamming_pairs(df.limit(0), "v", 4)) == []
+    assert rows(hamming.hamming_pairs(df, "v", 4)) == want
+    assert rows(hamming.hamming_pairs(df, "v", 4, hot=3)) == want
+    assert rows(hamming.hamming_pairs(df.limit(0), "v", 4)) == []
 
 
 def test_matches(spark):

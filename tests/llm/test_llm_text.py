@@ -40,6 +40,9 @@ def test_quotes(spark):
     labels = spark.createDataFrame(quotes, "request_sha256 string, case_id string, evidence_quote string").withColumn("text", F.lit(1))
     cases = spark.createDataFrame([("c", text), ("c", text), ("n", None)], "case_id string, raw_case_text string")
     assert [r[0] for r in rows(lookalike.lookalike_quotes(labels, cases))] == ["blank", "cyr", "lig", "nfd", "zero"]
+    labels = spark.createDataFrame([("cut", "c1", "cafe\u0301"), ("end", "c1", "na\u0131\u0308ve")], "request_sha256 string, case_id string, evidence_quote string")
+    text = spark.createDataFrame([("c1", "A café, rarely.")], "case_id string, raw_case_text string")
+    assert [r[0] for r in rows(lookalike.lookalike_quotes(labels, text))] == ["cut"]  # the composed word stands nowhere by itself
     assert rows(lookalike.lookalike_quotes(labels.limit(0), cases.limit(0))) == []
 
 
@@ -334,7 +337,33 @@ def test_stuffing_with_a_prose_word(spark):
     docs += [(2000, "en", " ".join(rnd.choice(nouns) for _ in range(120)))]
     got = {r["doc_id"]: r for r in keywords.keyword_features(spark.createDataFrame(docs, "doc_id long, lang string, text string")).collect()}
     assert sorted(k for k, r in got.items() if r["flagged"]) == [1000, 1001, 1002]
-    assert got[1000]["foreign"] == 0 and got[1000]["excess"] > keywords.STUFFED > got[2000]["excess"]
+    assert got[1000]["foreign"] == 0 and got[1000]["excess"] > 0.3 > got[2000]["excess"]
+
+
+def test_each_measure_flags_alone(spark):
+    """Of prose pages that differ in one measure only, each extreme one is flagged; the limits move with language and length."""
+    rnd = random.Random(12)
+    rows = [(i, lang, 64 + rnd.randrange(60), 0.4, 0.0, base + rnd.random() * 0.02, 0.01, slope + rnd.random() * 0.05, 0.03) for i in range(60) for lang, base, slope in ((1, 0.0, -0.5), (2, 0.4, -0.9))]
+    odd = {"repeated": 0.15, "foreign": 0.6, "excess": 0.4, "slope": -1.6, "residual": 0.6}
+    page = lambda lang, **k: (lang, 100, 0.1, *({"repeated": 0.0, "foreign": 0.01, "excess": 0.01, "slope": -0.5, "residual": 0.03} | k).values())
+    rows = [(f"prose{lang}-{i}", lang, *x) for i, lang, *x in rows]
+    rows += [(c, *page(1, **{c: v})) for c, v in odd.items()] + [("usual", *page(1)), ("foreign2", *page(2, foreign=0.6, slope=-0.9)), ("slope2", *page(2, foreign=0.4, slope=0.2))]
+    rows += [("short", 1, 5, 0.1, 0.9, 0.9, 0.9, -0.5, 0.03), ("unknown", None, 100, 0.0, None, None, None, -1.6, 0.9), ("long", 1, 5000, 0.1, 0.0, 0.0, 0.01, -1.6, 0.9), ("long tags", 1, 5000, 0.1, 0.2, 0.9, 0.01, -0.5, 0.03)]
+    df = spark.createDataFrame(rows, "page string, language int, total long, share double, repeated double, foreign double, excess double, slope double, residual double")
+    got = keywords._flagged(df.withColumn("bin", F.floor(F.log2(F.col("total").cast("double"))).cast("int"))).where("flagged")
+    assert sorted(r["page"] for r in got.collect()) == sorted([*odd, "slope2", "long tags"])
+
+
+def test_prose_of_a_rare_language_is_left_alone(spark):
+    rnd = random.Random(13)
+    common = "the a of and was with in at by for".split()
+    nouns = [f"no{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
+    prose = lambda n: " ".join(" ".join([rnd.choice(common), rnd.choice(nouns), rnd.choice(common), rnd.choice(common), rnd.choice(nouns)]).capitalize() + "." for _ in range(n))
+    finnish = "Potilas tuli vastaanotolle kuumeen takia ja kertoi yskän alkaneen edellisenä päivänä, ja kuume jatkui yön yli. Potilas sai lääkkeen ja lähti kotiin."
+    docs = [(i, "en", prose(rnd.randrange(5, 40))) for i in range(300)] + [(1000 + i, "fi", finnish + f" Käynti {i}.") for i in range(3)] + [(1010, "en", "cheap pills best price cheap pills coupon " * 20)]
+    got = {r["doc_id"]: r for r in keywords.keyword_features(spark.createDataFrame(docs, "doc_id long, lang string, text string")).collect()}
+    assert [k for k, r in got.items() if r["flagged"]] == [1010] and got[1000]["language"] is None and got[1000]["foreign"] is None
+    assert got[0]["language"] == "en"
 
 
 def test_rank_frequency_fit(spark):
