@@ -235,15 +235,17 @@ _STATUS = f"""CASE WHEN regexp_matches(b, '{assertions.FAMILY}') OR regexp_match
   WHEN regexp_matches(b, '{assertions.CONFIRMED_BEFORE}') OR regexp_matches(a, '{assertions.CONFIRMED_AFTER}') THEN 'confirmed' ELSE 'unclear' END"""
 
 
-@query(f"""WITH {_OFFSETS}, m AS (SELECT DISTINCT case_id, concept_id, t, a, a + length(alias) AS b FROM hits
+_DIAGNOSED = f"""{_OFFSETS}, m AS (SELECT DISTINCT case_id, concept_id, t, a, a + length(alias) AS b FROM hits
 ), sp AS (SELECT *, a - length(regexp_extract(substr(t, 1, a), '[^.!?\\n]*$')) AS s0, regexp_extract(substr(t, b + 1), '^[^.!?\\n]*(?:[.!?]+|$)') AS tail FROM m WHERE regexp_matches(substr(t, b + 1), '^[^.!?\\n]*(?:[.!?]+|$)')
 ), sides AS (SELECT case_id, concept_id, a, b AS z, s0, b + length(tail) AS e0, substr(t, s0 + 1, b + length(tail) - s0) AS evidence, lower(regexp_replace(substr(t, s0 + 1, a - s0), '[\\x{{a0}}\\x{{2000}}-\\x{{200a}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]', ' ', 'g')) AS b0,
   lower(regexp_replace(tail, '[\\x{{a0}}\\x{{2000}}-\\x{{200a}}\\x{{202f}}\\x{{205f}}\\x{{3000}}]', ' ', 'g')) AS a0 FROM sp
 ), clauses AS (SELECT case_id, concept_id, a AS pos, z, s0, e0, evidence, right(regexp_extract(b0, '^(?s:.*(?:{assertions.CLAUSE}))?((?s:.*))$', 1), 100) AS b, left(regexp_extract(a0, '^(?s:(.*?))(?:(?:{assertions.CLAUSE})|$)', 1), 100) AS a FROM sides
 ), st AS (SELECT *, {_STATUS} AS status FROM clauses
-), best AS (SELECT case_id, concept_id, arg_min({{'status': status, 'e': evidence, 's0': s0, 'e0': e0}}, (list_position([{STATUS_LIST}], status), pos, z)) AS x, bool_or(status = 'ruled_out') AS no FROM st GROUP BY 1, 2)
-SELECT case_id, concept_id, CASE WHEN x.status = 'confirmed' AND no THEN 'unclear' ELSE x.status END AS status, CASE WHEN x.status = 'confirmed' AND no THEN 'CONTRADICTORY_ASSERTIONS' WHEN x.status = 'confirmed' THEN 'EXPLICIT_ASSERTION' ELSE 'NOT_CONFIRMED' END AS reason,
-  x.e AS evidence, x.s0::INT AS evidence_start, x.e0::INT AS evidence_end FROM best""")
+), best AS (SELECT case_id, concept_id, arg_min({{'status': status, 'e': evidence, 's0': s0, 'e0': e0}}, (list_position([{STATUS_LIST}], status), pos, z)) AS x, bool_or(status = 'ruled_out') AS no FROM st GROUP BY 1, 2), diagnosed AS (SELECT case_id, concept_id, CASE WHEN x.status = 'confirmed' AND no THEN 'unclear' ELSE x.status END AS status, CASE WHEN x.status = 'confirmed' AND no THEN 'CONTRADICTORY_ASSERTIONS' WHEN x.status = 'confirmed' THEN 'EXPLICIT_ASSERTION' ELSE 'NOT_CONFIRMED' END AS reason,
+  x.e AS evidence, x.s0::INT AS evidence_start, x.e0::INT AS evidence_end FROM best)"""
+
+
+@query(f"WITH {_DIAGNOSED} SELECT * FROM diagnosed")
 def diagnosed_concepts(spark: SparkSession, d: str) -> DataFrame:
     """The best assertion per case and concept, with its sentence and offsets."""
     texts = _distinct(spark, d, "cases", "case_id", "raw_case_text")
@@ -265,7 +267,20 @@ def prefix_words(spark: SparkSession, d: str) -> DataFrame:
     return q.select("case_id", F.startswith("r", F.col("x")).alias("is_prefix"), text.word_count(F.col("x")).cast("long").alias("words"))
 
 
-@query()
+_WHITE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+
+@query(f"""WITH {_DIAGNOSED}, one AS (SELECT case_id, arg_min({{'e': evidence, 's': evidence_start}}, (list_position([{STATUS_LIST}], status), concept_id)) AS x FROM diagnosed GROUP BY 1
+), src AS (SELECT c.case_id, c.t, x.e AS e, coalesce(x.s, length(c.t)) AS at0 FROM one JOIN texts c ON c.case_id = one.case_id
+), cutp AS (SELECT case_id, t, at0, string_split(regexp_replace(t, '([^.!?\\n]+(?:[.!?]+|$))', chr(57344) || '\\1' || chr(57345), 'g'), chr(57345)) AS p FROM src
+), pc AS (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM cutp
+), spans AS (SELECT case_id, t, at0, coalesce(list_sum(list_transform(p[1:i - 1], lambda x: length(x) - CASE WHEN contains(x, chr(57344)) THEN 1 ELSE 0 END)), 0)::BIGINT AS o, p[i] AS piece FROM pc WHERE contains(p[i], chr(57344))
+), se AS (SELECT case_id, t, at0, o + instr(piece, chr(57344)) - 1 AS s0, o + length(piece) - 1 AS e0 FROM spans
+), tells AS (SELECT case_id, min(s0) AS s0 FROM se WHERE s0 < at0 AND (regexp_matches(substr(t, s0 + 1, e0 - s0), '{"(?i)" + quality.AFTER_DIAGNOSIS[5:]}') OR EXISTS (SELECT 1 FROM hits h WHERE h.case_id = se.case_id AND h.a >= s0 AND h.a + length(h.alias) <= e0)) GROUP BY 1
+), ends AS (SELECT src.case_id, src.t, src.e, coalesce(tells.s0, src.at0) AS z FROM src LEFT JOIN tells ON tells.case_id = src.case_id
+), clin AS (SELECT *, regexp_replace(substr(t, 1, z), '^[{_WHITE}]+|[{_WHITE}]+$', '', 'g') AS x, regexp_replace(e, '^[{_WHITE}]+|[{_WHITE}]+$', '', 'g') AS q FROM ends)
+SELECT case_id, sha256(x) AS clinical_text_sha256, z::INT AS clinical_source_end, CASE WHEN EXISTS (SELECT 1 FROM hits h WHERE h.case_id = clin.case_id AND h.a + length(h.alias) <= z) OR coalesce(q <> '' AND contains(x, q), false) THEN 'TEXT_LABEL_LEAKAGE'
+  WHEN len(regexp_extract_all(x, '[^{_WHITE}]+')) < 30 THEN 'TEXT_TOO_SHORT' ELSE 'PASS' END AS reason FROM clin""")
 def clinical_prefix(spark: SparkSession, d: str) -> DataFrame:
     """The source prefix that does not tell the diagnosis, cut anew from mentions, cues and evidence."""
     found = materialize(_mentions(spark, d), "mentions")
