@@ -119,6 +119,41 @@ def decode_png(data: bytes) -> np.ndarray:
     return out.reshape(height, width, channels)
 
 
+def encode_png(pixels: np.ndarray) -> bytes:
+    """A PNG file of 8-bit grey, RGB or RGBA ``pixels`` (height, width, channels)."""
+    height, width, channels = pixels.shape
+    raw = np.concatenate([np.zeros((height, 1), dtype=np.uint8), pixels.reshape(height, width * channels)], axis=1)
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    head = struct.pack(">IIBBBBB", width, height, 8, {1: 0, 3: 2, 4: 6}[channels], 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(raw.tobytes())) + chunk(b"IEND", b"")
+
+
+def shrink(pixels: np.ndarray, most: int = 3072) -> np.ndarray:
+    """``pixels`` with no side above ``most``, proportions kept: each new pixel is the mean of those it stands for."""
+    step = -(-max(pixels.shape[:2]) // most)
+    if step <= 1:
+        return pixels
+    height, width = (-(-n // step) * step for n in pixels.shape[:2])
+    full = np.pad(pixels, ((0, height - pixels.shape[0]), (0, width - pixels.shape[1]), (0, 0)), mode="edge")
+    return full.reshape(height // step, step, width // step, step, -1).mean(axis=(1, 3)).round().astype(np.uint8)
+
+
+def review_images(files: DataFrame, most: int = 3072) -> DataFrame:
+    """(path, image) for ``files`` (path, content): what a reviewer is sent, no side above ``most``; null if unreadable."""
+
+    @F.pandas_udf("binary")
+    def small(content: pd.Series) -> pd.Series:
+        def one(data):
+            try:
+                return encode_png(shrink(decode_png(bytes(data or b"")), most))
+            except (ValueError, struct.error, zlib.error):
+                return None
+
+        return content.map(one)
+
+    return files.select("path", small("content").alias("image"))
+
+
 def perceptual_hash(pixels: np.ndarray) -> str:
     """64 bits in hex: signs of the low cosine frequencies of the 32 x 32 grey image against their median."""
     grey = pixels[..., :3].mean(axis=2) if pixels.shape[2] >= 3 else pixels[..., 0].astype(float)

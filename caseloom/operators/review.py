@@ -20,6 +20,11 @@ DECISIONS, CONFIDENCE = ["accept", "reject", "uncertain"], ["low", "medium", "hi
 STATUSES = ["confirmed", "probable", "suspected", "differential", "ruled_out", "historical", "unclear"]
 
 
+def valid_model(name: Column) -> Column:
+    """Whether ``name`` can be a model's id: letters, digits, and dots, colons, slashes, underscores or hyphens inside."""
+    return F.coalesce(name.rlike(r"^[A-Za-z0-9][A-Za-z0-9._:/-]{0,199}\z"), F.lit(False))
+
+
 def requests(rows: DataFrame, kind: str, payload: dict[str, Column], model: str, prompt_version: str) -> DataFrame:
     """``rows`` with payload_json and request_sha256, the digest of all that the answer depends on."""
     body = canonical_json(**payload)
@@ -42,18 +47,54 @@ def problem(result_json: Column, source_text: Column) -> Column:
     )
 
 
+class TooManyRequests(Exception):
+    """A reviewer's service asks to stop; what is not answered yet stays due."""
+
+
+class Limited:
+    """``reviewer`` called no more than ``per_minute`` times a minute in one worker; failures wait longer each time.
+
+    After ``tries`` failures in a row the last one goes on to the caller, TooManyRequests at once.
+    """
+
+    def __init__(self, reviewer: Callable[[str, int, str | None], str], per_minute: float, tries: int = 3, pause: float = 2.0, most_pause: float = 30.0) -> None:
+        self.reviewer, self.gap, self.tries, self.pause, self.most_pause = reviewer, 60.0 / per_minute, tries, pause, most_pause
+        self.next = 0.0
+
+    def __call__(self, payload: str, attempt: int, problem: str | None) -> str:
+        import time
+
+        for n in range(self.tries):
+            time.sleep(max(0.0, self.next - time.monotonic()))
+            self.next = time.monotonic() + self.gap
+            try:
+                return self.reviewer(payload, attempt, problem)
+            except TooManyRequests:
+                raise
+            except Exception:  # noqa: BLE001
+                if n + 1 == self.tries:
+                    raise
+                time.sleep(min(self.pause * 2**n, self.most_pause))
+        raise AssertionError
+
+
 def run_reviews(jobs: DataFrame, reviewer: Callable[[str, int, str | None], str], check: Callable[[str, str], str | None], attempts: int = 3) -> DataFrame:
     """(request_sha256, result_json, attempts_json, problem, terminal) for ``jobs`` (request_sha256, payload_json).
 
     ``reviewer(payload, attempt, last problem)`` answers a request; ``check(payload, answer)`` names what
     is wrong with the answer. After ``attempts`` answers that do not hold the failure is terminal; an
-    exception is not, so the job comes again. One job's failure leaves the others alone.
+    exception is not, so the job comes again. One job's failure leaves the others alone, but after
+    TooManyRequests the partition's remaining jobs are not tried.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        stopped = False
         for batch in batches:
             out = []
             for key, payload in zip(batch["request_sha256"], batch["payload_json"], strict=True):
+                if stopped:
+                    out.append((key, None, "[]", "STOPPED", False))
+                    continue
                 tried, wrong, answer, terminal = [], None, None, False
                 try:
                     for n in range(attempts):
@@ -65,6 +106,7 @@ def run_reviews(jobs: DataFrame, reviewer: Callable[[str, int, str | None], str]
                     terminal = wrong is not None
                 except Exception as e:  # noqa: BLE001
                     wrong = f"{type(e).__name__}: {e}"[:300]
+                    stopped = type(e).__name__ == TooManyRequests.__name__  # the class comes by value
                 out.append((key, answer if wrong is None else None, json.dumps(tried), wrong, terminal))
             yield pd.DataFrame(out, columns=["request_sha256", "result_json", "attempts_json", "problem", "terminal"])
 

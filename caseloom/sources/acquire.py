@@ -59,6 +59,42 @@ def fetch(url: str, path: Path, size: int | None = None, checksum: str | None =
     raise AssertionError
 
 
+def get_json(url: str, tries: int = 3, pause: float = 1.0) -> object:
+    """The JSON document at ``url``; after a failure of the connection the next try waits twice as long."""
+    for n in range(tries):
+        try:
+            with urllib.request.urlopen(urllib.request.Request(url, headers={"Accept": "application/json"}), timeout=60) as answer:
+                return json.loads(answer.read().decode("utf-8-sig"))
+        except (urllib.error.URLError, ConnectionError, TimeoutError):
+            if n + 1 == tries:
+                raise
+            time.sleep(pause * 2**n)
+    raise AssertionError
+
+
+def fetch_at_commit(template: str, commit: str, path: Path, checksum: str | None = None, **how) -> dict:
+    """Fetch ``template`` with {commit} filled in; returns what a lock needs to pin it.
+
+    Only a whole commit id is taken: names of branches and tags may point elsewhere tomorrow.
+    """
+    if len(commit) != 40 or set(commit) - set("0123456789abcdef"):
+        raise ValueError(f"{commit} is no whole commit id")
+    url = template.format(commit=commit)
+    fetch(url, path, checksum=checksum, **how)
+    return {"url": url, "commit": commit, "sha256": file_digest(path), "bytes": path.stat().st_size}
+
+
+def probe(url: str, timeout: float = 10.0) -> dict:
+    """Whether a service answers at ``url``: {reachable, status, problem}; sends no data."""
+    try:
+        with urllib.request.urlopen(urllib.request.Request(url, method="HEAD"), timeout=timeout) as answer:
+            return {"reachable": True, "status": answer.status, "problem": None}
+    except urllib.error.HTTPError as e:
+        return {"reachable": True, "status": e.code, "problem": str(e.reason)}
+    except (urllib.error.URLError, ConnectionError, TimeoutError) as e:
+        return {"reachable": False, "status": None, "problem": str(getattr(e, "reason", e))}
+
+
 def acquire(root: str | Path, files: list[dict], lock: str = "source_lock.json", **how) -> dict:
     """Fetch ``files`` (path, url, size, checksum) below ``root`` and record them; returns the lock by path.
 

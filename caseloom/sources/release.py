@@ -20,6 +20,13 @@ def write_ledger(df: DataFrame, path: str) -> None:
     df.distinct().orderBy(*df.columns).coalesce(1).write.mode("errorifexists").option("header", True).csv(path)
 
 
+def build_card(manifest: DataFrame, version: str, label: str, licence: str, part: str) -> dict:
+    """The card of a release from aggregates: rows, classes, licences and rows by part."""
+    counts = manifest.groupBy(label, licence, part).agg(F.count("*").alias("n")).collect()  # labels x licences x parts
+    by = lambda k: {str(v): sum(r["n"] for r in counts if r[k] == v) for v in sorted({r[k] for r in counts}, key=str)}
+    return {"version": version, "rows": sum(r["n"] for r in counts), "classes": by(label), "licences": sorted(by(licence)), "parts": by(part)}
+
+
 def copy_checked(pairs: list[tuple[str, str, str]], root: Path) -> None:
     """Copy (source, relative target, sha256), checking the digest before and after."""
     for source, relative, want in pairs:
@@ -50,6 +57,7 @@ def publish(root: str | Path, version: str, tables: dict[str, DataFrame], card:
         for name, df in (ledgers or {}).items():
             write_ledger(df, str(safe_path(stage, name + ".csv")))
         copy_checked(files or [], stage)
+        (stage / "gate.json").write_text(json.dumps({"status": "PASS"}))
         (stage / "card.json").write_text(json.dumps(card, sort_keys=True, ensure_ascii=False, indent=1))
         sums = {str(p.relative_to(stage)): {"bytes": p.stat().st_size, "sha256": file_digest(p)} for p in sorted(stage.rglob("*")) if p.is_file() and not p.name.endswith(".crc")}
         (stage / "checksums.json").write_text(json.dumps(sums, sort_keys=True, indent=1))
@@ -61,7 +69,7 @@ def publish(root: str | Path, version: str, tables: dict[str, DataFrame], card:
 
 
 def verify_release(spark: SparkSession, path: str | Path) -> list[str]:
-    """What is amiss with a release: files that are missing, changed or not listed, or an empty table."""
+    """What is amiss with a release: files that are missing, changed or not listed, a gate that did not pass, or an empty table."""
     root = Path(path)
     if not (root / "checksums.json").exists():
         return ["checksums.json is missing"]
@@ -71,6 +79,8 @@ def verify_release(spark: SparkSession, path: str | Path) -> list[str]:
     for n in sorted(found & set(sums)):
         if (root / n).stat().st_size != sums[n]["bytes"] or file_digest(root / n) != sums[n]["sha256"]:
             out.append(f"{n} has changed")
+    if (root / "gate.json").exists() and not out and json.loads((root / "gate.json").read_text()).get("status") != "PASS":
+        out.append("the gate did not pass")
     if (root / "manifest.parquet").exists() and not out and spark.read.parquet(str(root / "manifest.parquet")).limit(1).count() == 0:
         out.append("the manifest is empty")
     return out

@@ -254,3 +254,15 @@ def test_decisions(spark):
     assert rows(decisions.current(reviews, jobs, ["k", "h"], [F.col("n")])) == [("a", "1", 2)]
     flags = spark.createDataFrame([(None, ["x"], 0.0), (True, [], 0.0), (True, None, 0.0)], "ok boolean, l array<string>, u double")
     assert [tuple(r) for r in flags.select(decisions.all_true(F.col("ok")), decisions.none_listed(F.col("l"))).collect()] == [(False, False), (True, True), (True, True)]
+
+
+def test_review_images(spark):
+    import numpy as np
+
+    pixels = np.arange(5 * 7 * 3, dtype=np.uint8).reshape(5, 7, 3)
+    assert (quality.decode_png(quality.encode_png(pixels)) == pixels).all()
+    assert quality.shrink(pixels, 4).shape == (3, 4, 3) and quality.shrink(pixels, 9) is pixels
+    assert quality.shrink(np.full((4, 4, 1), 9, dtype=np.uint8), 2).tolist() == [[[9], [9]], [[9], [9]]]
+    df = spark.createDataFrame([("a", bytearray(quality.encode_png(pixels))), ("b", bytearray(b"zz")), ("c", None)], "path string, content binary")
+    got = {r["path"]: r["image"] for r in quality.review_images(df, 4).collect()}
+    assert got["b"] is None and got["c"] is None and quality.decode_png(bytes(got["a"])).shape == (3, 4, 3)

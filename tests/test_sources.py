@@ -50,6 +50,10 @@ def test_jsonl_csv_zip(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("d/one.txt", "1")
     assert [(r["path"], bytes(r["content"])) for r in files.read_zip(spark, str(tmp_path / "a.zip")).collect()] == [("d/one.txt", b"1")]
+    assert files.extract_checked(str(tmp_path / "a.zip"), str(tmp_path / "x")) == ["d/one.txt"] and files.extract_checked(str(tmp_path / "a.zip"), str(tmp_path / "x")) == []
+    (tmp_path / "x/d/one.txt").write_text("2")
+    with pytest.raises(ValueError, match="other content"):
+        files.extract_checked(str(tmp_path / "a.zip"), str(tmp_path / "x"))
     with zipfile.ZipFile(tmp_path / "bad.zip", "w") as z:
         z.writestr("../evil", "1")
     with pytest.raises(Exception, match="unsafe"):
@@ -68,3 +72,27 @@ def test_streaming(spark, tmp_path):
     assert sorted((r["k"], r["n"]) for r in latest.read_latest(spark, out).collect()) == [("a", 3), ("b", 5)]
     stream = latest.windowed_counts(latest.deduplicated(spark.readStream.schema(schema).parquet(src), ["k", "n"], "ts", "1 hour"), "ts", "1 minute", "1 hour", ["k"])
     assert stream.isStreaming
+
+
+def test_config(tmp_path):
+    from caseloom.sources.config import read_config
+
+    (tmp_path / "a.json").write_text('{"seed": 1}')
+    (tmp_path / "b.json").write_text("[]")
+    assert read_config(tmp_path, "a") == {"seed": 1}
+    for name, error in (("b", ValueError), ("c", FileNotFoundError), ("../a", ValueError)):
+        with pytest.raises(error):
+            read_config(tmp_path, name)
+    pytest.importorskip("yaml")
+    (tmp_path / "d.yaml").write_text("folds: 5\nroots: [x, y]\n")
+    assert read_config(tmp_path, "d") == {"folds": 5, "roots": ["x", "y"]}
+
+
+def test_card_and_commit(spark, tmp_path):
+    from caseloom.sources import acquire, release
+
+    df = spark.createDataFrame([("l1", "CC0", "dev"), ("l1", "CC0", "test"), ("l2", None, "dev")], "label string, licence string, part string")
+    assert release.build_card(df, "v1", "label", "licence", "part") == {"version": "v1", "rows": 3, "classes": {"l1": 2, "l2": 1}, "licences": ["CC0", "None"], "parts": {"dev": 2, "test": 1}}
+    with pytest.raises(ValueError, match="commit"):
+        acquire.fetch_at_commit("file:///{commit}", "main", tmp_path / "x")
+    assert acquire.probe("http://127.0.0.1:9/", timeout=2)["reachable"] is False

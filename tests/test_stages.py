@@ -70,6 +70,21 @@ def test_reviews(spark):
         review.import_results(line(key, GOOD | {"reason": "new"}), jobs, cache, "t")
 
 
+def test_limited_reviewer(spark):
+    jobs = spark.createDataFrame([(f"r{i}", "{}") for i in range(4)], "request_sha256 string, payload_json string").coalesce(1)
+
+    def busy(payload, attempt, problem):
+        raise review.TooManyRequests("wait")
+
+    out = review.run_reviews(jobs, review.Limited(busy, per_minute=1e6), lambda p, a: None).collect()
+    assert [r["problem"] for r in out].count("STOPPED") == 3 and not any(r["terminal"] for r in out)
+    calls = []
+    flaky = review.Limited(lambda p, a, w: calls.append(a) or (1 / 0 if len(calls) < 3 else "ok"), per_minute=1e6, pause=0.0)
+    assert flaky("x", 0, None) == "ok" and len(calls) == 3
+    names = spark.createDataFrame([("a/b-1:2",), ("",), ("x y",), (None,)], "m string")
+    assert [r[0] for r in names.select(review.valid_model(F.col("m"))).collect()] == [True, False, False, False]
+
+
 def test_acquire(tmp_path):
     data = bytes(range(256)) * 50
     hits = []
