@@ -55,16 +55,19 @@ _cleaned: set[str] = set()
 def materialize(df: DataFrame, what: str = "step") -> DataFrame:
     """Write ``df`` into the shared folder and read it back: cuts the lineage, survives lost executors.
 
-    The files are Parquet, so the planner then knows the size of the result. Where the folder is a mounted
-    one they go when the driver ends; elsewhere the folder's owner clears it.
+    The files are Parquet, so the planner then knows the size of the result. They go when the driver ends,
+    by the file system that holds them; :func:`discard` deletes them earlier.
     """
     spark = df.sparkSession
     own = f"{shared_dir(spark)}/caseloom-{os.getpid()}"
-    if own.startswith(("file:", "/")) and own not in _cleaned:
-        _cleaned.add(own)
-        atexit.register(shutil.rmtree, re.sub("^file:/*", "/", own), ignore_errors=True)
     path = f"{own}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if own not in _cleaned:
+        _cleaned.add(own)
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)  # only what exists can be marked
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+        if own.startswith(("file:", "/")):
+            atexit.register(shutil.rmtree, re.sub("^file:/*", "/", own), ignore_errors=True)
     out = spark.read.schema(df.schema).parquet(path)
     out._caseloom_path = path
     return out
