@@ -299,24 +299,32 @@ class NearDuplicates:
         out = self.pairs.join(own.select(F.col("h").alias("x"), F.col("doc_id").alias("a")), "x").join(own.select(F.col("h").alias("y"), F.col("doc_id").alias("b")), "y")
         return out.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
+    def _named(self) -> tuple[DataFrame, DataFrame]:
+        """(doc_id, field, h) of all texts, and (h, first, n): the smallest document of each class and how many it has."""
+        own = self.rows.select("doc_id", "field", "h").distinct()
+        return own, own.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+
     def groups(self) -> DataFrame:
-        """(doc_id, field, group): the texts that similar pairs link, directly or through others; group is the smallest class of it.
+        """(doc_id, field, group): the texts that similar pairs link, directly or through others; group is the smallest document of it.
 
         Classes are linked, not documents, so copies of a text add nothing to the graph; a text that is like
         no other is a group of its own class.
         """
-        own = self.rows.select("doc_id", "field", "h").distinct()
+        own, classes = self._named()
         found = connected_components(self.pairs.where("x <> y"), "x", "y").select(F.col("node").alias("h"), "component")
-        return own.join(found, "h", "left").select("doc_id", "field", F.hex(F.coalesce("component", "h")).alias("group"))
+        classes = classes.join(found, "h", "left").withColumn("component", F.coalesce("component", "h"))
+        least = classes.groupBy("component").agg(F.min("first").alias("group"))
+        return own.join(classes.join(least, "component").select("h", "group"), "h").select("doc_id", "field", "group")
 
     def classes(self) -> DataFrame:
-        """(doc_id, field, class, links): for each text its class of equal texts and how many other documents' texts are like it."""
-        own = self.rows.select("doc_id", "field", "h").distinct()
-        size = own.groupBy("h").agg(F.count("*").alias("n"))
+        """(doc_id, field, class, links): for each text the smallest document with an equal text, and how many other documents' texts are like it."""
+        own, size = self._named()
+        size = materialize(size, "classes")
         ends = self.pairs.where("x <> y").select(F.col("x").alias("h"), F.col("y").alias("o")).unionByName(self.pairs.where("x <> y").select(F.col("y").alias("h"), F.col("x").alias("o")))
         ends = ends.unionByName(self.pairs.where("x = y").select(F.col("x").alias("h"), F.col("y").alias("o")))
-        links = ends.join(size.withColumnRenamed("h", "o"), "o").groupBy("h").agg(F.sum(F.col("n") - F.when(F.col("h") == F.col("o"), 1).otherwise(0)).alias("links"))
-        return own.join(links, "h", "left").select("doc_id", "field", F.hex("h").alias("class"), F.coalesce("links", F.lit(0)).alias("links"))
+        links = ends.join(size.select(F.col("h").alias("o"), "n"), "o").groupBy("h").agg(F.sum(F.col("n") - F.when(F.col("h") == F.col("o"), 1).otherwise(0)).alias("links"))
+        named = size.select("h", F.col("first").alias("class")).join(links, "h", "left")
+        return own.join(named, "h").select("doc_id", "field", "class", F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def case_texts(cases: DataFrame, text_qc: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """SQL for the queries that SQL can express, for DuckDB over the same tables."""
 
+from caseloom.llm import consensus
 from caseloom.llm.lookalike import CHARACTER_MAP, LIGATURES
 
 _TOKENS = r"""regexp_extract_all({}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+')"""
@@ -25,6 +26,43 @@ def _same_form(x: str) -> str:
     return f"trim(regexp_replace(nfc_normalize({out}), ' +', ' ', 'g'))"
 
 
+_VOTES = """
+WITH r AS (
+  SELECT case_id, 'a:' || model AS annotator, decision, raw_text_sha256, reviewed_at FROM reviewer_a
+  UNION ALL SELECT case_id, 'b:' || model, decision, raw_text_sha256, reviewed_at FROM reviewer_b
+  UNION ALL SELECT case_id, 'm:' || model, decision, raw_text_sha256, reviewed_at FROM medgemma_labels
+  UNION ALL SELECT case_id, 'h:' || lower(trim(reviewer_id)), human_decision, raw_text_sha256, reviewed_at FROM human_label_adjudications
+), d AS (
+  SELECT r.*, CASE lower(trim(decision)) WHEN 'accept' THEN 0 WHEN 'accepted' THEN 0 WHEN 'reject' THEN 1 WHEN 'rejected' THEN 1 WHEN 'uncertain' THEN 2 END AS vote
+  FROM r JOIN (SELECT DISTINCT case_id, raw_text_sha256 FROM cases) USING (case_id, raw_text_sha256) WHERE annotator IS NOT NULL
+), v AS (
+  SELECT case_id, annotator, arg_max(vote, (coalesce(try_cast(reviewed_at AS TIMESTAMPTZ), '0001-01-01'::TIMESTAMPTZ), vote)) AS vote FROM d WHERE vote IS NOT NULL GROUP BY 1, 2
+)"""
+#: The vector by a dense matrix of all pairs of annotators, as many rounds as the operator takes.
+_SPECTRAL = (
+    _VOTES.replace("WITH r AS", "WITH RECURSIVE r AS")
+    + f""", tot AS (SELECT annotator, count(*)::DOUBLE AS total, avg((vote = 0)::INT) AS c0, avg((vote = 1)::INT) AS c1, avg((vote = 2)::INT) AS c2 FROM v GROUP BY 1
+), pairs AS (SELECT x.annotator AS a, y.annotator AS b, count(*)::DOUBLE AS n, sum((x.vote = y.vote)::INT)::DOUBLE AS same FROM v x JOIN v y ON x.case_id = y.case_id AND x.annotator <> y.annotator GROUP BY 1, 2
+), mat AS (SELECT p.a, p.b, p.n, p.same - p.n * (x.c0 * y.c0 + x.c1 * y.c1 + x.c2 * y.c2) AS num FROM pairs p JOIN tot x ON x.annotator = p.a JOIN tot y ON y.annotator = p.b
+), power AS (
+  SELECT 0 AS i, annotator, 0.7::DOUBLE AS v, 0.49::DOUBLE AS usual, 1.0::DOUBLE AS moved FROM tot
+  UNION ALL
+  SELECT i + 1, annotator, old * {consensus.KEPT} + step * sqrt(sqrt(avg(old * old) OVER () / avg(step * step) OVER ())) * (1 - {consensus.KEPT}), sqrt(avg(old * old) OVER () * avg(step * step) OVER ()), max(abs(step - old)) OVER ()
+  FROM (
+    SELECT o.i, o.annotator, o.v AS old, (coalesce(sum(m.num * r.v), 0) / (coalesce(sum(m.n * r.v * r.v), 0) + {consensus.PRIOR_WEIGHT} * o.usual + 1e-9)) AS step
+    FROM power o LEFT JOIN mat m ON m.a = o.annotator LEFT JOIN power r ON r.annotator = m.b WHERE o.moved >= {consensus.CLOSE} AND o.i < {consensus.ROUNDS} GROUP BY 1, 2, 3, o.usual
+  )
+), last AS (SELECT p.annotator, p.v, t.total, t.c0, t.c1, t.c2 FROM power p JOIN tot t USING (annotator) WHERE i = (SELECT max(i) FROM power)
+), w AS (SELECT sum(greatest(v, 0) ^ 2 * total) AS w, sum(greatest(v, 0) ^ 2 * total * c0) AS r0, sum(greatest(v, 0) ^ 2 * total * c1) AS r1, sum(greatest(v, 0) ^ 2 * total * c2) AS r2 FROM last
+), prior AS (SELECT r0 / w AS r0, r1 / w AS r1, r2 / w AS r2 FROM w
+), rel AS (SELECT annotator, least(0.98, greatest(0.02, (1 + 2 * v / sqrt(greatest(1e-6, 1 - r0 * r0 - r1 * r1 - r2 * r2))) / 3)) AS p FROM last, prior
+), score AS (SELECT case_id, count(*) AS votes, """
+    + ", ".join(f"coalesce(sum(ln(2 * p / (1 - p))) FILTER (vote = {k}), 0) + any_value(ln(greatest(r{k}, 1e-6))) AS s{k}, count(*) FILTER (vote = {k}) AS m{k}" for k in range(3))
+    + """ FROM v JOIN rel USING (annotator), prior GROUP BY 1
+), decided AS (SELECT case_id, votes, CASE WHEN votes > 1 THEN (m0 * (m0 - 1) + m1 * (m1 - 1) + m2 * (m2 - 1))::DOUBLE / (votes * (votes - 1)) END AS agreement,
+  CASE greatest(s0, s1, s2) WHEN s0 THEN 'accept' WHEN s1 THEN 'reject' ELSE 'uncertain' END AS consensus_decision,
+  round(1 / (exp(s0 - greatest(s0, s1, s2)) + exp(s1 - greatest(s0, s1, s2)) + exp(s2 - greatest(s0, s1, s2))), 6) AS confidence FROM score)"""
+)
 _MATCHES = (
     """WITH RECURSIVE img AS (
   SELECT DISTINCT case_id, lower(trim(image_sha256)) AS sha,
@@ -50,39 +88,28 @@ _SHINGLES = f"""t AS (
 ), c AS (SELECT field, a.case_id AS x, b.case_id AS y, count(*) AS c FROM s a JOIN s b USING (field, tok) WHERE a.case_id < b.case_id GROUP BY 1, 2, 3
 ), alike AS (SELECT c.field, c.x, c.y FROM c JOIN n p ON p.field = c.field AND p.case_id = c.x JOIN n q ON q.field = c.field AND q.case_id = c.y WHERE 5 * c.c >= 3 * (p.n + q.n - c.c))"""
 
+_EQUAL = """equal AS (SELECT DISTINCT case_id, 'raw' AS field, raw_case_text AS text FROM cases WHERE raw_case_text IS NOT NULL UNION SELECT DISTINCT case_id, 'clinical', clinical_text FROM text_qc WHERE clinical_text IS NOT NULL)"""
+
 SQL = {
     "p4_found": f"WITH {_SHINGLES} SELECT DISTINCT x AS case_id_a, y AS case_id_b FROM alike",
-    "p4_links": f"""WITH {_SHINGLES}, both_ways AS (SELECT field, x, y FROM alike UNION SELECT field, y, x FROM alike), k AS (SELECT field, x, count(*) AS links FROM both_ways GROUP BY 1, 2)
-SELECT t.case_id, t.field, coalesce(k.links, 0) AS links FROM (SELECT DISTINCT case_id, field FROM t) t LEFT JOIN k ON k.field = t.field AND k.x = t.case_id""",
-    "p4_group_sizes": f"""WITH RECURSIVE {_SHINGLES}, both_ways AS (SELECT field, x AS a, y AS b FROM alike UNION SELECT field, y, x FROM alike),
-chain(field, node, seen) AS (SELECT DISTINCT field, case_id, case_id FROM t UNION SELECT c.field, c.node, e.b FROM chain c JOIN both_ways e ON e.a = c.seen AND e.field = c.field
-), roots AS (SELECT field, node, min(seen) AS root FROM chain GROUP BY 1, 2), g AS (SELECT field, root, count(*) AS size FROM roots GROUP BY 1, 2)
-SELECT field, size, count(*) AS n FROM g GROUP BY 1, 2""",
-    "p3_found": f"""
-WITH pairs AS (
-  SELECT m.request_sha256, m.evidence_quote AS q, c.raw_case_text AS t FROM medgemma_labels m JOIN cases c USING (case_id)
-  WHERE m.evidence_quote <> '' AND NOT contains(c.raw_case_text, m.evidence_quote)
-), same AS (SELECT request_sha256, {_same_form('q')} AS q, {_same_form('t')} AS t FROM pairs)
-SELECT DISTINCT request_sha256 FROM same WHERE q <> '' AND contains(t, q)""",
+    "p4_classes": f"""WITH {_SHINGLES}, both_ways AS (SELECT field, x, y FROM alike UNION SELECT field, y, x FROM alike), k AS (SELECT field, x, count(*) AS links FROM both_ways GROUP BY 1, 2), {_EQUAL}
+SELECT e.case_id, e.field, min(e.case_id) OVER (PARTITION BY e.field, e.text) AS class, coalesce(k.links, 0) AS links FROM equal e LEFT JOIN k ON k.field = e.field AND k.x = e.case_id""",
+    "p4_groups": f"""WITH RECURSIVE {_SHINGLES}, {_EQUAL}, same AS (SELECT field, text, min(case_id) AS a FROM equal GROUP BY 1, 2
+), links AS (SELECT field, x AS a, y AS b FROM alike UNION SELECT e.field, s.a, e.case_id FROM equal e JOIN same s ON s.field = e.field AND s.text = e.text AND s.a <> e.case_id
+), both_ways AS (SELECT field, a, b FROM links UNION SELECT field, b, a FROM links),
+chain(field, node, seen) AS (SELECT DISTINCT field, case_id, case_id FROM equal UNION SELECT c.field, c.node, e.b FROM chain c JOIN both_ways e ON e.a = c.seen AND e.field = c.field)
+SELECT node AS case_id, field, min(seen) AS "group" FROM chain GROUP BY field, node""",
     "p1_found": _MATCHES + "SELECT root AS group_case_id, node AS case_id FROM lowest WHERE root <> node",
     "p1_groups": _MATCHES
     + """, every AS (SELECT case_id FROM selected_images UNION SELECT case_id FROM groups)
 SELECT e.case_id, coalesce(l.root, e.case_id) AS group_case_id FROM every e LEFT JOIN lowest l ON l.node = e.case_id WHERE e.case_id IS NOT NULL""",
-    "p2_agreement": """
-WITH r AS (
-  SELECT case_id, 'a:' || model AS annotator, decision, raw_text_sha256, reviewed_at FROM reviewer_a
-  UNION ALL SELECT case_id, 'b:' || model, decision, raw_text_sha256, reviewed_at FROM reviewer_b
-  UNION ALL SELECT case_id, 'm:' || model, decision, raw_text_sha256, reviewed_at FROM medgemma_labels
-  UNION ALL SELECT case_id, 'h:' || lower(trim(reviewer_id)), human_decision, raw_text_sha256, reviewed_at FROM human_label_adjudications
-), d AS (
-  SELECT r.*, CASE lower(trim(decision)) WHEN 'accept' THEN 0 WHEN 'accepted' THEN 0 WHEN 'reject' THEN 1 WHEN 'rejected' THEN 1 WHEN 'uncertain' THEN 2 END AS vote
-  FROM r JOIN (SELECT DISTINCT case_id, raw_text_sha256 FROM cases) USING (case_id, raw_text_sha256) WHERE annotator IS NOT NULL
-), v AS (
-  SELECT case_id, annotator, arg_max(vote, (coalesce(try_cast(reviewed_at AS TIMESTAMPTZ), '0001-01-01'::TIMESTAMPTZ), vote)) AS vote FROM d WHERE vote IS NOT NULL GROUP BY 1, 2
-), k AS (SELECT case_id, vote, count(*) AS m FROM v GROUP BY 1, 2
+    "p2_agreement": f"""
+{_VOTES}, k AS (SELECT case_id, vote, count(*) AS m FROM v GROUP BY 1, 2
 ), s AS (SELECT case_id, sum(m)::BIGINT AS votes, sum(m * (m - 1))::DOUBLE AS alike FROM k GROUP BY 1)
 SELECT case_id, votes, CASE WHEN votes > 1 THEN round(alike / (votes * (votes - 1)), 6) END AS agreement,
   votes >= 3 AND alike < votes * (votes - 1) AS contested FROM s""",
+    "p2_found": f"{_SPECTRAL} SELECT case_id, consensus_decision FROM decided WHERE votes >= 3 AND agreement < 1",
+    "p2_consensus": f"{_SPECTRAL} SELECT case_id, votes, round(agreement, 6) AS agreement, consensus_decision, confidence FROM decided",
     "p5_found": """
 SELECT DISTINCT t.diagnosis_label, t.fold FROM sample_targets t LEFT JOIN (
   SELECT upper(trim(m.diagnosis_label)) AS label, a.fold, count(DISTINCT m.sample_id) AS n

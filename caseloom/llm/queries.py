@@ -70,22 +70,11 @@ def p4_classes(spark: SparkSession, d: str) -> DataFrame:
     return _near(spark, d).classes().withColumnRenamed("doc_id", "case_id")
 
 
-def p4_links(spark: SparkSession, d: str) -> DataFrame:
-    """How many other cases each text is like."""
-    return p4_classes(spark, d).select("case_id", "field", "links")
-
-
 def p4_groups(spark: SparkSession, d: str) -> DataFrame:
     """The group of near-duplicates of each text."""
     return _near(spark, d).groups().withColumnRenamed("doc_id", "case_id")
 
 
-def p4_group_sizes(spark: SparkSession, d: str) -> DataFrame:
-    """Of each field and size of group of near-duplicate texts how many there are, texts like no other included."""
-    sizes = p4_groups(spark, d).groupBy("field", "group").agg(F.count("*").alias("size"))
-    return sizes.groupBy("field", "size").agg(F.count("*").alias("n"))
-
-
 def _samples(spark: SparkSession, d: str) -> DataFrame:
     return sampling.labelled_samples(table(spark, d, "manifest"), table(spark, d, "assignments"))
 
