@@ -30,6 +30,11 @@ def hash_fraction(x: Column) -> Column:
     return F.conv(F.substring(F.sha2(x, 256), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def utc_iso(at: Column | None = None) -> Column:
+    """A timestamp, now by default, as an ISO time in UTC with seconds; sessions run in UTC."""
+    return F.date_format(F.current_timestamp() if at is None else at, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+
+
 def canonical_json(**fields: Column) -> Column:
     """JSON with sorted keys, no blanks and nulls kept, so equal records give equal strings."""
     return F.to_json(F.struct(*(fields[k].alias(k) for k in sorted(fields))), {"ignoreNullFields": "false"})

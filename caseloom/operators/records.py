@@ -81,6 +81,19 @@ def append_new(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.unionByName(pending(new.dropDuplicates(keys), old, keys), allowMissingColumns=True)
 
 
+def append_audit(log: str, new: DataFrame, keys: list[str]) -> None:
+    """Append to the log at path ``log`` the rows of ``new`` whose keys it has not; what was written is never changed.
+
+    A run that is repeated adds nothing. ``log`` is created with the first rows, even if there are none.
+    """
+    spark = new.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log)
+    fresh = new.dropDuplicates(keys)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        fresh = pending(fresh, spark.read.parquet(log), keys)
+    fresh.write.mode("append").parquet(log)
+
+
 def reuse_results(jobs: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     """``jobs`` with the cached columns of the same request key and ``cached``; a changed request finds nothing."""
     return jobs.join(cache.withColumn("cached", F.lit(True)), key, "left").withColumn("cached", F.coalesce("cached", F.lit(False)))

@@ -53,9 +53,9 @@ def publish(root: str | Path, version: str, tables: dict[str, DataFrame], card:
     stage = Path(tempfile.mkdtemp(prefix=f".{target.name}-", dir=target.parent))
     try:
         for name, df in tables.items():
-            df.write.option("compression", "zstd").parquet(str(safe_path(stage, name + ".parquet")))
+            df.write.option("compression", "zstd").parquet(safe_path(stage, name + ".parquet").as_uri())
         for name, df in (ledgers or {}).items():
-            write_ledger(df, str(safe_path(stage, name + ".csv")))
+            write_ledger(df, safe_path(stage, name + ".csv").as_uri())
         copy_checked(files or [], stage)
         (stage / "gate.json").write_text(json.dumps({"status": "PASS"}))
         (stage / "card.json").write_text(json.dumps(card, sort_keys=True, ensure_ascii=False, indent=1))
@@ -81,7 +81,7 @@ def verify_release(spark: SparkSession, path: str | Path) -> list[str]:
             out.append(f"{n} has changed")
     if (root / "gate.json").exists() and not out and json.loads((root / "gate.json").read_text()).get("status") != "PASS":
         out.append("the gate did not pass")
-    if (root / "manifest.parquet").exists() and not out and spark.read.parquet(str(root / "manifest.parquet")).limit(1).count() == 0:
+    if (root / "manifest.parquet").exists() and not out and spark.read.parquet((root / "manifest.parquet").resolve().as_uri()).limit(1).count() == 0:
         out.append("the manifest is empty")
     return out
 

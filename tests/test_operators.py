@@ -125,7 +125,7 @@ def test_near_hashes(spark):
     assert all(x.count() == 0 for x in components.near_hashes(df.limit(0), "k", F.col("v"), 4))
 
 
-def test_records(spark):
+def test_records(spark, tmp_path):
     df = spark.createDataFrame([("a", "2025-01-01T10:00:00+05:30", 1), ("a", "2025-01-01T05:00:00Z", 2), ("a", "bad", 3), ("b", None, 4)], "k string, t string, n int")
     assert rows(records.latest_by(df, ["k"], [records.instant(F.col("t")), F.col("n")]).select("k", "n")) == [("a", 2), ("b", 4)]
     img = spark.createDataFrame([("c", "i2", "weak", "ct", "x", 5, 5), ("c", "i1", "strong", "mri", "", 9, 9), ("c", "i0", "strong", "mri", "cap", 1, 1), ("d", "i9", None, None, None, None, None)], "case_id string, image_id string, image_relevance string, image_modality string, caption string, width int, height int")
@@ -133,6 +133,10 @@ def test_records(spark):
     old, new = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int"), spark.createDataFrame([("b", 3), ("c", 4), ("c", 4)], "k string, n int")
     assert rows(records.upsert(old, new.distinct(), ["k"])) == [("a", 1), ("b", 3), ("c", 4)]
     assert rows(records.append_new(old, new, ["k"])) == [("a", 1), ("b", 2), ("c", 4)]
+    log = str(tmp_path / "log")
+    for frame in (old, new, new):
+        records.append_audit(log, frame, ["k"])
+    assert rows(spark.read.parquet(log)) == [("a", 1), ("b", 2), ("c", 4)]
     again = records.append_new(records.append_new(old, new, ["k"]), new, ["k"])
     assert again.count() == 3
     assert rows(records.first_pending(old, new, ["k"], 5)) == [("a", 1)]
