@@ -39,7 +39,9 @@ MOST_BROADCAST = 2_000_000
 #: A measure is extreme this many deviations from the median of comparable prose. A deviation is that of the
 #: quartiles, and at least the measure's tolerance.
 EXTREME = 4.5
-TOLERANCE = {"repeated": 0.02, "foreign": 0.1, "excess": 0.06, "slope": 0.2, "residual": 0.09}
+TOLERANCE = {"repeated": 0.02, "foreign": 0.1, "excess": 0.06, "slope": 0.1, "residual": 0.09}
+#: What the slope's tolerance is larger by for a page of one word; it falls with the root of the number of words, as a fit's error does.
+SLOPE_ERROR = 0.6
 CURVE = ("slope", "residual")
 #: Prose pages of a length (power of two) that make it comparable; below, divergence is held against all the language's prose, and the curve, which depends on the length, against none.
 COMPARABLE = 20
@@ -221,6 +223,7 @@ def _flagged(rows: DataFrame) -> DataFrame:
     for c, tolerance in TOLERANCE.items():
         q = F.when(comparable, F.col("q_" + c)) if c in CURVE else F.when(comparable, F.col("q_" + c)).otherwise(F.col("w_" + c))
         away = F.col(c) - F.get(q, F.lit(1))
-        scale = F.greatest((F.get(q, F.lit(2)) - F.get(q, F.lit(0))) / 1.349, F.lit(tolerance))
+        least = tolerance + SLOPE_ERROR / F.sqrt(F.col("total").cast("double")) if c == "slope" else F.lit(tolerance)
+        scale = F.greatest((F.get(q, F.lit(2)) - F.get(q, F.lit(0))) / 1.349, least)
         out = out | F.coalesce((F.abs(away) if c in CURVE else away) / scale > EXTREME, F.lit(False))
     return rows.withColumn("flagged", out & (F.col("total") >= LEAST_WORDS))
