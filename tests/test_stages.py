@@ -147,3 +147,25 @@ def test_command_line(capsys):
     from caseloom.__main__ import main
 
     assert main(["list"]) == 0 and "norm_cases" in capsys.readouterr().out
+
+
+def test_stages_of_the_command_line(spark, capsys, tmp_path):
+    from pathlib import Path
+
+    from caseloom.__main__ import STAGES, main
+
+    assert {q for names in STAGES.values() for q in names} <= set(__import__("__spark_entry__").queries())
+    assert main(["stages"]) == 0 and set(json.loads(capsys.readouterr().out)) == set(STAGES)
+    assert main(["stage", "no such", "--data", "x", "--out", str(tmp_path)]) == 2
+    (tmp_path / "a.txt").write_text("x")
+    sha = acquire.file_digest(tmp_path / "a.txt")
+    for size, want in ((1, 0), (2, 2)):
+        (tmp_path / "lock.json").write_text(json.dumps([{"name": "a.txt", "bytes": size, "sha256": sha}]))
+        assert main(["verify-files", str(tmp_path), str(tmp_path / "lock.json")]) == want
+    (tmp_path / "list.json").write_text(json.dumps({"files": [{"path": "b.txt", "url": (tmp_path / "a.txt").as_uri(), "size": 1, "checksum": f"sha256:{sha}"}]}))
+    assert main(["acquire", str(tmp_path / "list.json"), "--root", str(tmp_path / "root")]) == 0
+    capsys.readouterr()
+    if not Path("/root/testdata/sf0.001").exists():
+        pytest.skip("no test tables")
+    assert main(["stage", "taxonomy", "--data", "/root/testdata/sf0.001", "--out", str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out/taxonomy.parquet")).columns == ["concept_id", "aliases"]
