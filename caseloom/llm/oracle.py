@@ -91,6 +91,13 @@ _SHINGLES = f"""t AS (
 _EQUAL = """equal AS (SELECT DISTINCT case_id, 'raw' AS field, raw_case_text AS text FROM cases WHERE raw_case_text IS NOT NULL UNION SELECT DISTINCT case_id, 'clinical', clinical_text FROM text_qc WHERE clinical_text IS NOT NULL)"""
 
 SQL = {
+    "p3_found": f"""
+WITH pairs AS (
+  SELECT m.request_sha256, m.evidence_quote AS q, c.raw_case_text AS t FROM medgemma_labels m JOIN cases c USING (case_id)
+  WHERE m.evidence_quote <> '' AND NOT contains(c.raw_case_text, m.evidence_quote)
+), same AS (SELECT request_sha256, {_same_form('q')} AS q, {_same_form('t')} AS t FROM pairs)
+SELECT DISTINCT request_sha256 FROM same WHERE q <> '' AND contains(t, q)""",
+    "p3_canonical": f"SELECT DISTINCT case_id, {_same_form('raw_case_text')} AS text FROM cases",
     "p4_found": f"WITH {_SHINGLES} SELECT DISTINCT x AS case_id_a, y AS case_id_b FROM alike",
     "p4_classes": f"""WITH {_SHINGLES}, both_ways AS (SELECT field, x, y FROM alike UNION SELECT field, y, x FROM alike), k AS (SELECT field, x, count(*) AS links FROM both_ways GROUP BY 1, 2), {_EQUAL}
 SELECT e.case_id, e.field, min(e.case_id) OVER (PARTITION BY e.field, e.text) AS class, coalesce(k.links, 0) AS links FROM equal e LEFT JOIN k ON k.field = e.field AND k.x = e.case_id""",
@@ -109,6 +116,9 @@ SELECT e.case_id, coalesce(l.root, e.case_id) AS group_case_id FROM every e LEFT
 SELECT case_id, votes, CASE WHEN votes > 1 THEN round(alike / (votes * (votes - 1)), 6) END AS agreement,
   votes >= 3 AND alike < votes * (votes - 1) AS contested FROM s""",
     "p2_found": f"{_SPECTRAL} SELECT case_id, consensus_decision FROM decided WHERE votes >= 3 AND agreement < 1",
+    "p2_reliability": f"""{_SPECTRAL}, q AS (SELECT case_id, {", ".join(f"exp(s{k} - greatest(s0, s1, s2)) / (exp(s0 - greatest(s0, s1, s2)) + exp(s1 - greatest(s0, s1, s2)) + exp(s2 - greatest(s0, s1, s2))) AS q{k}" for k in range(3))} FROM score)
+SELECT annotator, count(*) AS votes, round(any_value(p), 6) AS reliability, {", ".join(f"round((coalesce(sum(q{k}) FILTER (vote = {k}), 0) + {consensus.PRIOR_ROWS} * any_value(p)) / (sum(q{k}) + {consensus.PRIOR_ROWS}), 6) AS right_{d}" for k, d in enumerate(consensus.DECISIONS))}
+FROM v JOIN q USING (case_id) JOIN rel USING (annotator) GROUP BY annotator""",
     "p2_consensus": f"{_SPECTRAL} SELECT case_id, votes, round(agreement, 6) AS agreement, consensus_decision, confidence FROM decided",
     "p5_found": """
 SELECT DISTINCT t.diagnosis_label, t.fold FROM sample_targets t LEFT JOIN (
